@@ -12,11 +12,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def entity_id():
+    """About seven sightings per entity at every scale."""
+    return F.col("user_id") * 10 + F.pmod(F.get_json_object("props", "$.k").cast("long"), F.lit(10))
+
+
 def seen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as sightings: entity = user, run = week, partition = event type, hash of the type."""
+    """events as sightings: entity = user and last digit of k, run = week, partition and hash = type."""
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
-        F.col("user_id").alias("vacancy_id"),
+        entity_id().alias("vacancy_id"),
         F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("crawl_run_id"),
         F.col("event_type").alias("crawl_partition_id"),
         F.col("ts").alias("seen_at"),
@@ -26,7 +31,8 @@ def seen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SEEN = """
 seen as (
-  select event_id as id, user_id as vacancy_id,
+  select event_id as id, 
+         user_id * 10 + cast(json_extract_string(props, '$.k') as bigint) % 10 as vacancy_id,
          strftime(date_trunc('week', ts), '%Y-%m-%d') as crawl_run_id,
          event_type as crawl_partition_id, ts as seen_at, sha256(event_type) as short_hash
   from events)
@@ -41,7 +47,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(F.col("event_type").isin("error", "purchase"))
         .select(
             F.col("event_id").alias("id"),
-            F.col("user_id").alias("vacancy_id"),
+            entity_id().alias("vacancy_id"),
             F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("crawl_run_id"),
             (F.pmod(k, F.lit(7)) + 1).cast("int").alias("attempt"),
             F.when(F.col("event_type") == "purchase", "succeeded")
@@ -56,7 +62,8 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ATTEMPTS = """
 attempts as (
-  select event_id as id, user_id as vacancy_id,
+  select event_id as id, 
+         user_id * 10 + cast(json_extract_string(props, '$.k') as bigint) % 10 as vacancy_id,
          strftime(date_trunc('week', ts), '%Y-%m-%d') as crawl_run_id,
          cast(cast(json_extract_string(props, '$.k') as int) % 7 + 1 as int) as attempt,
          case when event_type = 'purchase' then 'succeeded'
@@ -159,3 +166,48 @@ parts as (
 def as_of(ts: str):
     """A fixed evaluation time, so that results can be compared."""
     return F.lit(ts).cast("timestamp_ntz")
+
+
+def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State per entity: folded sightings joined with the folded attempts."""
+    from sightline.operators.history import fold_observations
+
+    folded = fold_observations(seen_events(spark, sf_dir), "vacancy_id")
+    a = attempts(spark, sf_dir)
+    detail = a.groupBy("vacancy_id").agg(
+        F.max_by("status", F.struct("requested_at", "id")).alias("detail_fetch_status"),
+        F.max(
+            F.when(F.col("status").isin("succeeded", "terminal_404"), F.coalesce("finished_at", "requested_at"))
+        ).alias("last_detail_fetched_at"),
+    )
+    lease_hours = F.pmod(F.col("vacancy_id"), F.lit(48)).cast("int")
+    return (
+        folded.join(detail, "vacancy_id", "left")
+        .withColumn("detail_fetch_status", F.coalesce("detail_fetch_status", F.lit("not_requested")))
+        .withColumn("is_probably_inactive", F.col("last_seen_at") < as_of("2024-01-22"))
+        .withColumn(
+            "first_detail_lease_expires_at",
+            F.when(
+                F.pmod(F.col("vacancy_id"), F.lit(4)) == 0,
+                as_of("2024-01-30") + F.make_interval(hours=lease_hours),
+            ),
+        )
+    )
+
+
+STATE = """
+state as (
+  select s.*, coalesce(d.detail_fetch_status, 'not_requested') as detail_fetch_status,
+         d.last_detail_fetched_at, s.last_seen_at < timestamp '2024-01-22' as is_probably_inactive,
+         case when s.vacancy_id % 4 = 0
+              then timestamp '2024-01-30' + to_hours(cast(s.vacancy_id % 48 as int)) end
+           as first_detail_lease_expires_at
+  from (select vacancy_id, min(seen_at) as first_seen_at, max(seen_at) as last_seen_at,
+               count(*) as seen_count, arg_max(crawl_run_id, (seen_at, id)) as last_seen_run_id,
+               arg_max(short_hash, (seen_at, id)) as last_short_hash
+        from seen group by vacancy_id) s
+  left join (select vacancy_id, arg_max(status, (requested_at, id)) as detail_fetch_status,
+                    max(case when status in ('succeeded', 'terminal_404')
+                             then coalesce(finished_at, requested_at) end) as last_detail_fetched_at
+             from attempts group by vacancy_id) d using (vacancy_id))
+"""
