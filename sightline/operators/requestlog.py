@@ -15,7 +15,7 @@ DURATION_BUCKETS = (0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0)
 
 def seconds_between(earlier: Column, later: Column) -> Column:
     micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
-    return F.greatest(micros, F.lit(0)) / F.lit(1e6)
+    return F.when(micros < 0, 0.0).otherwise(micros / F.lit(1e6))
 
 
 def annotate(log: DataFrame, session: list[str], at: str, row_id: str, hot_rows: int | None = None) -> DataFrame:
