@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.latest import superseded
-from sightline.session import cut_lineage, scratch_path
+from sightline.session import JSON_TIMES, cut_lineage, scratch_path
 
 ACTIVE_RUN = "created"
 DOCUMENT_VERSION = "2"
@@ -194,8 +194,8 @@ def archive_before_delete(target: str, rows: DataFrame, path: str | None = None)
     spark = rows.sparkSession
     path = path or scratch_path(spark, f"retention-{target}")
     selected = cut_lineage(rows)
-    selected.write.option("compression", "gzip").json(path)
-    stored = spark.read.schema(selected.schema).json(path)
+    selected.write.options(compression="gzip", **JSON_TIMES).json(path)
+    stored = spark.read.schema(selected.schema).options(**JSON_TIMES).json(path)
     return selected.agg(F.count(F.lit(1)).alias("selected_count")).select(
         F.lit(target).alias("target"),
         "selected_count",

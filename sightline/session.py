@@ -8,6 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# JSON text keeps whole microseconds only when told so.
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def build_session(app: str = "sightline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on. Cluster sizing is left to the launcher."""
     builder = SparkSession.builder.appName(app)
