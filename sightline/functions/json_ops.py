@@ -52,7 +52,7 @@ def parse(text: Column | str) -> Column:
 
 
 def at(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "variant")
+    return value if path == "$" else F.try_variant_get(value, path, "variant")
 
 
 def kind(value: Column, path: str = "$") -> Column:
@@ -64,13 +64,30 @@ def is_object(value: Column, path: str = "$") -> Column:
     return F.try_variant_get(value, path, "map<string,variant>").isNotNull()
 
 
+def open_object(value: Column, fields: list[str]) -> Column:
+    """Members of an object as a struct of VARIANT, in one pass; null when it is not an object."""
+    return F.try_variant_get(value, "$", "struct<" + ",".join(f"{f}:variant" for f in fields) + ">")
+
+
+def text_of(kind_: Column, raw: Column) -> Column:
+    """Trimmed text of a scalar that was already opened; null if blank or not text."""
+    return F.when(kind_ == "STRING", text_or_null(raw))
+
+
 def is_array(value: Column, path: str = "$") -> Column:
     return F.try_variant_get(value, path, "array<variant>").isNotNull()
 
 
+# Every character that counts as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def text_or_null(text: Column) -> Column:

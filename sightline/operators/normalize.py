@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions import json_ops as j
+from sightline.session import spread
 
 MAX_DEPTH = 64
 
@@ -15,7 +16,7 @@ def page_items(pages: DataFrame, body: str = "payload_json") -> DataFrame:
     v = F.col("_page")
     items = F.try_variant_get(v, "$.items", "array<variant>")
     page = F.coalesce(j.optional_int(v, "$.page"), F.lit(0))
-    parsed = pages.withColumn("_page", j.parse(body)).withColumn("_items", items)
+    parsed = spread(pages).withColumn("_page", j.parse(body)).withColumn("_items", items)
     per_page = F.coalesce(F.nullif(j.optional_int(v, "$.per_page"), F.lit(0)), F.size("_items"))
     return (
         parsed.withColumn("_base", page * F.greatest(per_page, F.lit(1)))
@@ -41,73 +42,152 @@ def employer_reference(value: Column, path: str = "$.employer") -> Column:
 
 
 LOOKUPS = ("area", "employment", "schedule", "experience", "employer")
+SHORT_TIMES = ("published_at", "created_at")
+DETAIL_TIMES = ("published_at", "initial_created_at", "created_at")
+EMPLOYER_TEXTS = ("id", "name", "alternate_url", "site_url")
 
 
-def record_error(value: Column, time_paths: tuple[str, ...]) -> Column:
-    """First reason why a record cannot be normalised; null for a good one."""
-    checks = [F.when(~F.coalesce(j.is_object(value), F.lit(False)), F.lit("record must be an object"))]
-    checks += [j.missing_error(value, "$.id"), j.missing_error(value, "$.name")]
-    checks += [j.type_error(value, f"$.{name}", "OBJECT") for name in LOOKUPS]
-    checks += [j.type_error(value, f"$.{name}.id", "STRING") for name in LOOKUPS]
-    checks += [j.type_error(value, "$.alternate_url", "STRING"), j.type_error(value, "$.professional_roles", "ARRAY")]
-    for path in time_paths:
-        checks += [j.type_error(value, path, "STRING"), j.time_error(value, path)]
-    return j.first_error(*checks)
+def _opened(df: DataFrame, v: Column, texts: list[str], others: list[str]) -> DataFrame:
+    """Open a record step by step, so that every member is read once.
+
+    Adds ``k_<x>`` (type) and ``t_<x>`` (text) per text member, ``v_<x>`` per other member, and
+    the same for the members of the small objects, as ``k_<object>_<x>`` and so on.
+    """
+    inner = {o: (list(EMPLOYER_TEXTS) if o == "employer" else ["id", "name"]) for o in LOOKUPS}
+    f = df.withColumn("_f", j.open_object(v, [*texts, *LOOKUPS, *others]))
+    keep = df.columns
+    g = f.select(
+        *keep,
+        F.col("_f").isNotNull().alias("is_record"),
+        *[F.schema_of_variant(F.col("_f")[t]).alias(f"k_{t}") for t in texts],
+        *[F.try_variant_get(F.col("_f")[t], "$", "string").alias(f"t_{t}") for t in texts],
+        *[F.col("_f")[o].alias(f"v_{o}") for o in [*LOOKUPS, *others]],
+        *[
+            j.open_object(F.col("_f")[o], [*m, *(["area", "trusted"] if o == "employer" else [])]).alias(f"o_{o}")
+            for o, m in inner.items()
+        ],
+    )
+    pairs = [(o, m) for o, members in inner.items() for m in members]
+    return g.select(
+        "*",
+        *[F.schema_of_variant(F.col(f"o_{o}")[m]).alias(f"k_{o}_{m}") for o, m in pairs],
+        *[F.try_variant_get(F.col(f"o_{o}")[m], "$", "string").alias(f"t_{o}_{m}") for o, m in pairs],
+    )
+
+
+def _text(name: str) -> Column:
+    return j.text_of(F.col(f"k_{name}"), F.col(f"t_{name}"))
+
+
+def _required(name: str) -> Column:
+    return F.when((F.col(f"k_{name}") == "STRING") & (j.strip(F.col(f"t_{name}")) != ""), F.col(f"t_{name}"))
+
+
+def _employer() -> Column:
+    o = F.col("o_employer")
+    return F.when(
+        _text("employer_id").isNotNull(),
+        F.struct(
+            _text("employer_id").alias("hh_employer_id"),
+            _text("employer_name").alias("name"),
+            _text("employer_alternate_url").alias("alternate_url"),
+            _text("employer_site_url").alias("site_url"),
+            j.optional_string(o["area"], "$.id").alias("area_hh_id"),
+            j.optional_bool(o["trusted"], "$").alias("is_trusted"),
+        ),
+    )
+
+
+def _record_error(texts: list[str], times: tuple[str, ...]) -> Column:
+    """First reason why an opened record cannot be normalised; null for a good one."""
+    checks = [F.when(~F.col("is_record"), F.lit("record must be an object"))]
+    for name in ("id", "name"):
+        checks.append(F.when(_required(name).isNull(), F.lit(f"{name} must be a non-empty string")))
+    for o in LOOKUPS:
+        wrong = F.col(f"v_{o}").isNotNull() & F.col(f"o_{o}").isNull() & (F.schema_of_variant(f"v_{o}") != "VOID")
+        checks.append(F.when(wrong, F.lit(f"{o} must be object")))
+    typed = [t for t in texts if t not in ("id", "name")] + [f"{o}_id" for o in LOOKUPS]
+    for t in typed:
+        checks.append(F.when(~F.col(f"k_{t}").isin("STRING", "VOID"), F.lit(f"{t.replace('_id', '.id')} must be string")))
+    roles = F.col("v_professional_roles")
+    checks.append(
+        F.when(
+            roles.isNotNull() & ~j.is_array(roles) & (F.schema_of_variant(roles) != "VOID"),
+            F.lit("professional_roles must be array"),
+        )
+    )
+    for t in times:
+        bad = _text(t).isNotNull() & F.col(f"at_{t}").isNull()
+        checks.append(F.when(bad, F.lit(f"{t} is not a supported time")))
+    return F.coalesce(*checks)
+
+
+def _with_times(df: DataFrame, times: tuple[str, ...]) -> DataFrame:
+    return df.select("*", *[j.parse_time(_text(t)).alias(f"at_{t}") for t in times])
 
 
 def short_records(items: DataFrame, item: str = "item") -> DataFrame:
     """Search items as columns; ``_error`` tells why a row belongs into quarantine."""
     v = F.col(item)
     keep = [c for c in items.columns if c != item]
-    return items.select(
+    texts = ["id", "name", "alternate_url", *SHORT_TIMES]
+    rows = _with_times(_opened(items, v, texts, ["professional_roles"]), SHORT_TIMES)
+    return rows.select(
         *keep,
-        j.required_string(v, "$.id").alias("hh_vacancy_id"),
-        j.required_string(v, "$.name").alias("name_current"),
-        j.lookup_id(v, "$.area").alias("area_hh_id"),
-        j.optional_time(v, "$.published_at").alias("published_at"),
-        j.optional_time(v, "$.created_at").alias("created_at_hh"),
-        j.optional_string(v, "$.alternate_url").alias("alternate_url"),
-        j.lookup_id(v, "$.employment").alias("employment_type_code"),
-        j.lookup_id(v, "$.schedule").alias("schedule_type_code"),
-        j.lookup_id(v, "$.experience").alias("experience_code"),
-        employer_reference(v).alias("employer"),
-        j.distinct_ids(v, "$.professional_roles").alias("professional_role_hh_ids"),
+        _required("id").alias("hh_vacancy_id"),
+        _required("name").alias("name_current"),
+        _text("area_id").alias("area_hh_id"),
+        F.col("at_published_at").alias("published_at"),
+        F.col("at_created_at").alias("created_at_hh"),
+        _text("alternate_url").alias("alternate_url"),
+        _text("employment_id").alias("employment_type_code"),
+        _text("schedule_id").alias("schedule_type_code"),
+        _text("experience_id").alias("experience_code"),
+        _employer().alias("employer"),
+        j.distinct_ids(F.col("v_professional_roles"), "$").alias("professional_role_hh_ids"),
         j.variant_hash(v).alias("short_hash"),
-        record_error(v, ("$.published_at", "$.created_at")).alias("_error"),
+        _record_error(texts, SHORT_TIMES).alias("_error"),
     )
 
 
 def detail_records(payloads: DataFrame, body: str = "payload_json") -> DataFrame:
     """Detail payloads as columns, the normalised document and both hashes."""
     v = F.col("_detail")
-    iso = "yyyy-MM-dd'T'HH:mm:ssXXX"
-    created = F.coalesce(j.optional_time(v, "$.initial_created_at"), j.optional_time(v, "$.created_at"))
+    keep = payloads.columns
+    texts = ["id", "name", "description", "branded_description", "alternate_url", *DETAIL_TIMES]
+    others = ["archived", "professional_roles", "key_skills", "salary", "salary_range"]
+    parsed = spread(payloads).withColumn("_detail", j.parse(body))
+    rows = _with_times(_opened(parsed, v, texts, others), DETAIL_TIMES)
     area = F.when(
-        j.is_object(v, "$.area"),
-        F.struct(j.lookup_id(v, "$.area").alias("id"), j.optional_string(v, "$.area.name").alias("name")),
+        F.col("o_area").isNotNull(), F.struct(_text("area_id").alias("id"), _text("area_name").alias("name"))
     )
-    out = payloads.withColumn("_detail", j.parse(body)).select(
-        *payloads.columns,
-        j.required_string(v, "$.id").alias("hh_vacancy_id"),
-        j.required_string(v, "$.name").alias("name_current"),
-        j.optional_string(v, "$.description").alias("description"),
-        j.optional_string(v, "$.branded_description").alias("branded_description"),
-        j.optional_string(v, "$.alternate_url").alias("alternate_url"),
-        j.optional_bool(v, "$.archived").alias("archived"),
+
+    def free_object(name: str) -> Column:
+        return F.when(j.is_object(F.col(f"v_{name}")), F.to_json(f"v_{name}"))
+
+    out = rows.select(
+        *keep,
+        _required("id").alias("hh_vacancy_id"),
+        _required("name").alias("name_current"),
+        _text("description").alias("description"),
+        _text("branded_description").alias("branded_description"),
+        _text("alternate_url").alias("alternate_url"),
+        j.optional_bool(F.col("v_archived"), "$").alias("archived"),
         area.alias("area"),
-        employer_reference(v).alias("employer"),
-        j.lookup_id(v, "$.employment").alias("employment_type_code"),
-        j.lookup_id(v, "$.schedule").alias("schedule_type_code"),
-        j.lookup_id(v, "$.experience").alias("experience_code"),
-        j.distinct_ids(v, "$.professional_roles").alias("professional_role_hh_ids"),
-        j.names_in_list(v, "$.key_skills").alias("key_skill_names"),
-        F.when(j.is_object(v, "$.salary"), F.to_json(j.at(v, "$.salary"))).alias("salary"),
-        F.when(j.is_object(v, "$.salary_range"), F.to_json(j.at(v, "$.salary_range"))).alias("salary_range"),
-        j.optional_time(v, "$.published_at").alias("published_at"),
-        created.alias("created_at_hh"),
+        _employer().alias("employer"),
+        _text("employment_id").alias("employment_type_code"),
+        _text("schedule_id").alias("schedule_type_code"),
+        _text("experience_id").alias("experience_code"),
+        j.distinct_ids(F.col("v_professional_roles"), "$").alias("professional_role_hh_ids"),
+        j.names_in_list(F.col("v_key_skills"), "$").alias("key_skill_names"),
+        free_object("salary").alias("salary"),
+        free_object("salary_range").alias("salary_range"),
+        F.col("at_published_at").alias("published_at"),
+        F.coalesce("at_initial_created_at", "at_created_at").alias("created_at_hh"),
         j.variant_hash(v).alias("detail_hash"),
-        record_error(v, ("$.published_at", "$.initial_created_at", "$.created_at")).alias("_error"),
+        _record_error(texts, DETAIL_TIMES).alias("_error"),
     )
+    iso = "yyyy-MM-dd'T'HH:mm:ssXXX"
     document = F.struct(
         "hh_vacancy_id",
         "name_current",
@@ -155,12 +235,14 @@ def leaf_values(docs: DataFrame, doc_id: list[str], body: str, max_depth: int =
     """
     obj = F.try_variant_get("v", "$", "map<string,variant>")
     arr = F.try_variant_get("v", "$", "array<variant>")
+    container = obj.isNotNull() | arr.isNotNull()
     pair = "array<struct<path:string,v:variant>>"
 
     def step(df: DataFrame) -> DataFrame:
         prefix = F.when(F.col("path") == "", F.lit("")).otherwise(F.concat("path", F.lit(".")))
+        df = df.withColumn("_m", obj)
         members = F.transform(
-            F.map_entries(obj), lambda e: F.struct(F.concat(prefix, e["key"]).alias("path"), e["value"].alias("v"))
+            F.map_entries("_m"), lambda e: F.struct(F.concat(prefix, e["key"]).alias("path"), e["value"].alias("v"))
         )
         elements = F.transform(
             arr, lambda x: F.struct(F.concat(F.col("path"), F.lit("[]")).alias("path"), x.alias("v"))
@@ -169,8 +251,8 @@ def leaf_values(docs: DataFrame, doc_id: list[str], body: str, max_depth: int =
         children = F.coalesce(members.cast(pair), elements.cast(pair), self_.cast(pair))
         return df.select(*doc_id, F.inline(children))
 
-    start = docs.select(*doc_id, F.lit("").alias("path"), j.parse(body).alias("v")).filter("v is not null")
-    flat = _until_done(start, step, obj.isNotNull() | arr.isNotNull(), max_depth)
+    start = spread(docs.select(*doc_id, body)).select(*doc_id, F.lit("").alias("path"), j.parse(body).alias("v"))
+    flat = _until_done(start.filter("v is not null"), step, container, max_depth)
     leaves = flat.filter("path <> ''").select(*doc_id, "path", F.to_json("v").alias("value"))
     return leaves.groupBy(*doc_id, "path").agg(F.array_sort(F.collect_set("value")).alias("leaf_values"))
 
@@ -205,7 +287,7 @@ def tree_nodes(docs: DataFrame, doc_id: list[str], body: str, max_depth: int = M
             F.lit(True).alias("open"),
         ),
     )
-    flat = _until_done(docs.select(*doc_id, F.inline(roots)), step, F.col("open"), max_depth)
+    flat = _until_done(spread(docs).select(*doc_id, F.inline(roots)), step, F.col("open"), max_depth)
     v = F.col("node")
     rows = flat.select(
         *doc_id,
@@ -224,7 +306,7 @@ def tree_nodes(docs: DataFrame, doc_id: list[str], body: str, max_depth: int = M
 def role_records(docs: DataFrame, doc_id: list[str], body: str) -> DataFrame:
     """Categories to roles; of a repeated role id the last one wins."""
     cats = F.try_variant_get(j.parse(body), "$.categories", "array<variant>")
-    c = docs.select(*doc_id, F.posexplode(cats).alias("_ci", "_c"))
+    c = spread(docs).select(*doc_id, F.posexplode(cats).alias("_ci", "_c"))
     roles = F.try_variant_get("_c", "$.roles", "array<variant>")
     r = c.select(*doc_id, "_ci", j.required_string(F.col("_c"), "$.name").alias("category_name"), F.posexplode(roles).alias("_ri", "_r"))
     rows = r.select(
