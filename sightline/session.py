@@ -21,9 +21,7 @@ def build_session(app: str = "sightline", master: str | None = None, **conf: str
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
+        **REQUIRED,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
@@ -35,6 +33,24 @@ def build_session(app: str = "sightline", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+# Settings the results or the handling of skew depend on, whoever made the session. A skewed join is
+# split even where the next aggregation then needs a shuffle of its own.
+REQUIRED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Bring a session made elsewhere to the settings the operators need."""
+    for key, value in REQUIRED.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster in spark.checkpoint.dir.
 
@@ -62,12 +78,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for work that is heavy per row when the input has fewer partitions than cores.
+    """Use all cores for work that is heavy per row when the input is small.
 
-    Large inputs already have more splits than cores and are left alone, so no payload is shuffled.
+    A small file is one split and would keep one core busy. The size is the optimizer's estimate,
+    so nothing runs for it; larger inputs have splits enough and are not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > SMALL_INPUT_BYTES:
         return df
-    return df.repartition(cores)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.segments import with_lag
+from sightline.session import cut_lineage
 
 RECEIPT_FIELDS = ("dataset_key", "layer", "row_count", "data_size_bytes", "data_sha256")
 REQUIRED_MANIFEST_FIELDS = (
@@ -94,7 +95,7 @@ def chain_audit(checkpoints: DataFrame, manifests: DataFrame, start: int = 0) ->
         .when(F.col("_min") <= before, "range overlaps the previous cursor")
         .when(F.col("_max") != after, "cursor differs from the files")
     )
-    judged = rows.withColumn("issue", issue)
+    judged = cut_lineage(rows.withColumn("issue", issue))  # used twice below
     broken = judged.groupBy("dataset_key").agg(F.min(F.when(F.col("issue").isNotNull(), owner)).alias("_broken"))
     out = judged.join(broken, "dataset_key")
     valid = F.col("_broken").isNull() | (owner < F.col("_broken"))
