@@ -26,18 +26,18 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 
 def status_class(status_code: Column, error_type: Column) -> Column:
     """2xx ... 5xx; without a usable code network_error or unknown."""
-    usable = status_code.isNotNull() & (status_code > 0)
+    code = F.coalesce(status_code, F.lit(0))
     return (
-        F.when(usable, F.concat(F.floor(status_code / 100).cast("string"), F.lit("xx")))
-        .when(error_type.isNotNull(), "network_error")
-        .otherwise("unknown")
+        F.when(error_type.isNotNull() & (code == 0), "network_error")
+        .when(code <= 0, "unknown")
+        .otherwise(F.concat(F.floor(code / 100).cast("string"), F.lit("xx")))
     )
 
 
 def endpoint_template(endpoint: Column, collection: str = "/vacancies") -> Column:
     """One label for all single-item endpoints, so that ids do not become labels."""
     return F.when(
-        endpoint.startswith(f"{collection}/"), F.lit(f"{collection}/{{id}}")
+        endpoint.startswith(f"{collection}/"), F.lit(f"{collection}/{{vacancy_id}}")
     ).otherwise(endpoint)
 
 
@@ -83,12 +83,9 @@ def safe_path_component(value: Column) -> Column:
 
 
 def observed_day(columns: list[str]) -> Column:
-    """Day text of the first filled time field present in ``columns``; '-' if none is usable."""
-    present = [F.col(c).cast("string") for c in OBSERVED_AT_FIELDS if c in columns]
-    if not present:
-        return F.lit("-")
-    text = F.coalesce(*present)
-    return F.when(F.length(text) >= 10, F.substring(text, 1, 10)).otherwise("-")
+    """Day text of the first time field that holds at least a date; '-' if none does."""
+    texts = [F.col(c).cast("string") for c in OBSERVED_AT_FIELDS if c in columns]
+    return F.coalesce(*[F.when(F.length(t) >= 10, F.substring(t, 1, 10)) for t in texts], F.lit("-"))
 
 
 def redact_headers(headers: Column) -> Column:

@@ -48,9 +48,10 @@ def coverage_summary(partitions: DataFrame, run: str = "crawl_run_id") -> DataFr
     )
     terminal, covered = F.col("terminal_partitions"), F.col("covered_terminal_partitions")
     ratio = F.when(terminal > 0, covered / terminal).otherwise(0.0)
-    return out.withColumns(
-        {"coverage_ratio": ratio, "is_fully_covered": (terminal > 0) & (covered == terminal)}
-    )
+    full = (terminal > 0) & (covered == terminal)
+    for left in ("pending_terminal_partitions", "running_partitions", "unresolved_partitions", "failed_partitions"):
+        full = full & (F.col(left) == 0)
+    return out.withColumns({"coverage_ratio": ratio, "is_fully_covered": full})
 
 
 def stage_status(summary: DataFrame) -> DataFrame:

@@ -86,6 +86,16 @@ def reconcile(flagged: DataFrame, threshold: int = INACTIVE_AFTER_MISSING_RUNS)
     )
 
 
+def reconcile_counts(flagged: DataFrame, threshold: int = INACTIVE_AFTER_MISSING_RUNS) -> DataFrame:
+    """Seen and missing states, and those that turn inactive now (not those that already were)."""
+    before = flagged.withColumn("_was", F.coalesce("is_probably_inactive", F.lit(False)))
+    return reconcile(before, threshold).agg(
+        F.count_if("seen_in_run").alias("observed_in_run_count"),
+        F.count_if(~F.col("seen_in_run")).alias("missing_updated_count"),
+        F.count_if(F.col("is_probably_inactive") & ~F.col("_was")).alias("marked_inactive_count"),
+    )
+
+
 def missing_run_counts(
     events: DataFrame, key: str = "vacancy_id", run: str = "crawl_run_id", threshold: int = 2
 ) -> DataFrame:
@@ -125,21 +135,21 @@ def next_attempt_numbers(attempts: DataFrame, keys: DataFrame, key: str = "vacan
 
 def latest_hash_of_other_runs(events: DataFrame, run_id: str, key: str = "vacancy_id") -> DataFrame:
     """Latest hash per key among all runs but the given one, even later ones."""
-    other = events.filter((F.col("crawl_run_id") != run_id) & F.col("short_hash").isNotNull())
+    other = events.filter(F.col("crawl_run_id") != run_id)
     return other.groupBy(key).agg(F.max_by("short_hash", F.struct("seen_at", "id")).alias("previous_short_hash"))
 
 
-def snapshot_reason(previous: Column, current: Column, known: Column) -> Column:
-    """Why a short snapshot is due: unknown key, or a different hash; else null."""
-    return F.when(~known, "first_seen").when(~previous.eqNullSafe(current), "short_hash_changed")
+def snapshot_reason(previous: Column, current: Column) -> Column:
+    """Why a short snapshot is due: no earlier hash, or a different one; else null."""
+    return F.when(previous.isNull(), "first_seen").when(~previous.eqNullSafe(current), "short_hash_changed")
 
 
 def due_short_snapshots(observed: DataFrame, state_before: DataFrame, key: str = "vacancy_id") -> DataFrame:
     """Sightings of a page that need a snapshot, judged by the state before the page."""
-    before = state_before.select(key, F.col("last_short_hash").alias("_before"), F.lit(True).alias("_known"))
+    before = state_before.select(key, F.col("last_short_hash").alias("_before"))
     joined = observed.join(before, key, "left")
-    reason = snapshot_reason(F.col("_before"), F.col("short_hash"), F.col("_known").isNotNull())
-    return joined.withColumn("change_reason", reason).filter("change_reason is not null").drop("_before", "_known")
+    reason = snapshot_reason(F.col("_before"), F.col("short_hash"))
+    return joined.withColumn("change_reason", reason).filter("change_reason is not null").drop("_before")
 
 
 def outcome_status(status_code: Column, succeeded: Column) -> Column:

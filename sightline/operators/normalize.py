@@ -218,12 +218,20 @@ def split_quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records.filter("_error is null").drop("_error"), records.filter("_error is not null")
 
 
+LEVELS_PER_CHECK = 2
+
+
 def _until_done(df: DataFrame, step, open_rows: Column, max_depth: int) -> DataFrame:
-    """Apply a narrow step until no row is open. Each check stops at the first open row."""
-    for _ in range(max_depth):
+    """Apply a narrow step until no row is open; a step leaves finished rows as they are.
+
+    Several levels are expanded between two checks, since a check reads the input once more. It
+    stops at the first open row, so only the last one is a full pass.
+    """
+    for _ in range(0, max_depth, LEVELS_PER_CHECK):
+        for _ in range(LEVELS_PER_CHECK):
+            df = step(df)
         if df.filter(open_rows).isEmpty():
             return df
-        df = step(df)
     raise ValueError(f"nesting deeper than {max_depth}")
 
 

@@ -132,6 +132,7 @@ def session_aggregate(slots: DataFrame, by: list[str]) -> DataFrame:
         F.count_if("recovery_clean").alias("recovery_clean_count"),
         F.count_if(rec > seed).alias("recovery_better_than_seed_count"),
         F.round(F.avg("seed_attempts"), 2).alias("avg_seed_gate_attempts"),
+        F.round(F.avg("recovery_attempts"), 2).alias("avg_recovery_gate_attempts"),
         F.min(seed).alias("min_seed_search_ok"),
         F.max(seed).alias("max_seed_search_ok"),
         F.min(rec).alias("min_recovery_search_ok"),

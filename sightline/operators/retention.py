@@ -59,8 +59,7 @@ def attempt_candidates(
     attempts: DataFrame, runs: DataFrame, cutoff: Column, cap: Column | None = None
 ) -> DataFrame:
     """Old attempts except the latest of each (vacancy, run)."""
-    at = F.coalesce("finished_at", "requested_at")
-    old = _capped(attempts.filter(at < cutoff), cap)
+    old = _capped(attempts.filter(F.col("requested_at") < cutoff), cap)
     return outside_active_runs(old, runs).join(latest_ids(attempts), "id", "left_anti")
 
 
@@ -144,6 +143,13 @@ def run_set_null(referrers: DataFrame, run_ids: DataFrame) -> DataFrame:
     return marked.withColumn("crawl_run_id", F.when(F.col("_gone").isNull(), F.col("crawl_run_id"))).drop("_gone")
 
 
+# Reasons shown for dated generations.
+REASON_PROTECTED = "protected milestone backup"
+REASON_LATEST = "latest verified generation"
+REASON_WEEKLY = "weekly verified checkpoint"
+REASON_NEWEST = "no newer verified generation exists"
+
+
 def generation_plan(
     generations: DataFrame,
     row_id: str,
@@ -180,10 +186,10 @@ def generation_plan(
     )
     reason = (
         F.when(~F.col(verified), "receipts do not match")
-        .when(F.col(protected), "protected milestone backup")
-        .when(F.col("_latest"), "latest verified generation")
-        .when(F.col("_weekly"), "weekly verified checkpoint")
-        .when(F.col("_newest"), "no newer verified generation exists")
+        .when(F.col(protected), REASON_PROTECTED)
+        .when(F.col("_latest"), REASON_LATEST)
+        .when(F.col("_weekly"), REASON_WEEKLY)
+        .when(F.col("_newest"), REASON_NEWEST)
     )
     action = F.when(~F.col(verified), "skipped").when(F.col("reason").isNotNull(), "retained").otherwise("delete_candidate")
     return marked.withColumn("reason", reason).withColumn("action", action).drop("_latest", "_weekly", "_newest")

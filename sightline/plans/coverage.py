@@ -141,7 +141,8 @@ summary as (
     "C1_coverage_summary",
     f"""with {PARTITIONS}, {SUMMARY} select *,
 case when terminal_partitions > 0 then covered_terminal_partitions / terminal_partitions else 0.0 end as coverage_ratio,
-terminal_partitions > 0 and covered_terminal_partitions = terminal_partitions as is_fully_covered from summary""",
+terminal_partitions > 0 and covered_terminal_partitions = terminal_partitions
+  and pending_terminal_partitions + running_partitions + unresolved_partitions + failed_partitions = 0 as is_fully_covered from summary""",
 )
 def summary(spark, d):
     return cov.coverage_summary(partitions(spark, d))
@@ -150,7 +151,8 @@ def summary(spark, d):
 @query(
     "C12_stage_status",
     f"""with {PARTITIONS}, {SUMMARY} select crawl_run_id, case
-when terminal_partitions > 0 and covered_terminal_partitions = terminal_partitions then 'completed'
+when terminal_partitions > 0 and covered_terminal_partitions = terminal_partitions
+  and pending_terminal_partitions + running_partitions + unresolved_partitions + failed_partitions = 0 then 'completed'
 when failed_partitions > 0 then 'failed' when unresolved_partitions > 0 then 'completed_with_unresolved'
 when pending_terminal_partitions = 0 and running_partitions = 0 then 'failed' end as stage_status from summary""",
 )

@@ -180,16 +180,17 @@ with {SEEN}, old as (
 hit as (select distinct vacancy_id from seen where crawl_run_id = '{RUN}')
 select count(*) filter (where hit.vacancy_id is not null) as observed_in_run_count,
        count(*) filter (where hit.vacancy_id is null) as missing_updated_count,
-       count(*) filter (where hit.vacancy_id is null and missing + 1 >= 2) as marked_inactive_count
+       count(*) filter (where hit.vacancy_id is null and missing + 1 >= 2 and missing < 2) as marked_inactive_count
 from old left join hit on hit.vacancy_id = old.vacancy_id
 """,
 )
 def reconcile_counts(spark, d):
-    return reconcile_run(spark, d).agg(
-        F.count_if("seen_in_run").alias("observed_in_run_count"),
-        F.count_if(~F.col("seen_in_run")).alias("missing_updated_count"),
-        F.count_if("is_probably_inactive").alias("marked_inactive_count"),
+    s = seen_events(spark, d)
+    missing = F.pmod("vacancy_id", F.lit(3)).cast("int")
+    old = h.fold_observations(s).select(
+        "vacancy_id", missing.alias("consecutive_missing_runs"), (missing >= 2).alias("is_probably_inactive")
     )
+    return h.reconcile_counts(h.seen_in_run(old, s, RUN))
 
 
 @query(

@@ -503,7 +503,7 @@ def status_classes(spark, d):
 
 @query(
     "N24_endpoints",
-    f"""with {REQUESTS} select id, case when starts_with(endpoint, '/vacancies/') then '/vacancies/{{id}}' else endpoint end as template,
+    f"""with {REQUESTS} select id, case when starts_with(endpoint, '/vacancies/') then '/vacancies/{{vacancy_id}}' else endpoint end as template,
 case when endpoint = '/vacancies' then 'search' when starts_with(endpoint, '/vacancies/') then 'detail' else 'dictionary' end as kind
 from reqs""",
 )

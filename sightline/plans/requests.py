@@ -153,7 +153,7 @@ def search_only(spark, d):
 count(*) filter (where o_orderstatus = 'P') as aborted_slots, count(*) filter (where o_orderkey % 7 < 3) as seed_clean_count,
 count(*) filter (where o_orderkey % 11 = 5) as recovery_clean_count,
 count(*) filter (where o_orderkey % 17 > o_orderkey % 13) as recovery_better_than_seed_count,
-round(avg(o_orderkey % 4), 2) as avg_seed_gate_attempts, min(o_orderkey % 13) as min_seed_search_ok, max(o_orderkey % 13) as max_seed_search_ok,
+round(avg(o_orderkey % 4), 2) as avg_seed_gate_attempts, round(avg(o_orderkey % 6), 2) as avg_recovery_gate_attempts, min(o_orderkey % 13) as min_seed_search_ok, max(o_orderkey % 13) as max_seed_search_ok,
 min(o_orderkey % 17) as min_recovery_search_ok, max(o_orderkey % 17) as max_recovery_search_ok,
 arg_min(o_orderpriority, o_orderkey) filter (where o_orderkey % 11 = 5) as first_clean_window from orders group by 1""",
 )
@@ -163,7 +163,7 @@ def aggregates(spark, d):
         F.pmod("o_custkey", F.lit(100)).alias("session_id"), k.alias("slot_no"), F.col("o_orderpriority").alias("window_label"),
         F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "aborted").otherwise("running").alias("status"),
         F.pmod(k, F.lit(13)).alias("seed_search_ok"), F.pmod(k, F.lit(17)).alias("recovery_search_ok"),
-        F.pmod(k, F.lit(4)).alias("seed_attempts"),
+        F.pmod(k, F.lit(4)).alias("seed_attempts"), F.pmod(k, F.lit(6)).alias("recovery_attempts"),
         (F.pmod(k, F.lit(7)) < 3).alias("seed_clean"), (F.pmod(k, F.lit(11)) == 5).alias("recovery_clean"),
     )
     return rl.session_aggregate(slots, ["session_id"])
@@ -252,7 +252,7 @@ def dimensions(spark, d):
 
 @query(
     "O1_request_counters",
-    f"""with {REQUESTS} select case when starts_with(endpoint, '/vacancies/') then '/vacancies/{{id}}' else endpoint end as endpoint,
+    f"""with {REQUESTS} select case when starts_with(endpoint, '/vacancies/') then '/vacancies/{{vacancy_id}}' else endpoint end as endpoint,
 (status_code // 100) || 'xx' as status_class, count(*) as request_count from reqs group by 1, 2""",
 )
 def counters(spark, d):
@@ -293,7 +293,7 @@ def quantile(spark, d):
 @query(
     "O3_interval_counts",
     f"""with {REQUESTS} select time_bucket(interval 5 minute, requested_at) as window_start,
-case when starts_with(endpoint, '/vacancies/') then '/vacancies/{{id}}' else endpoint end as endpoint,
+case when starts_with(endpoint, '/vacancies/') then '/vacancies/{{vacancy_id}}' else endpoint end as endpoint,
 count(*) as request_count, count(*) filter (where status_code >= 400) as error_count from reqs group by 1, 2""",
 )
 def intervals(spark, d):

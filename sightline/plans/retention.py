@@ -98,7 +98,7 @@ snapshot_candidates as (
   where rn > 1 and captured_at < timestamp '{CUTOFF}' and (runs.id is null or runs.status <> 'created')),
 attempt_candidates as (
   select a.* from attempts a left join runs on runs.id = a.crawl_run_id
-  where coalesce(a.finished_at, requested_at) < timestamp '{CUTOFF}' and (runs.id is null or runs.status <> 'created')
+  where requested_at < timestamp '{CUTOFF}' and (runs.id is null or runs.status <> 'created')
     and a.id not in (select max(id) from attempts group by vacancy_id, crawl_run_id)),
 run_candidates as (select * from runs where status <> 'created' and finished_at < timestamp '2024-01-30')
 """

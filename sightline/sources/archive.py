@@ -22,6 +22,7 @@ from sightline.schemas import ARCHIVE_DATASETS, ARCHIVE_SCHEMA_VERSION, CHECKPOI
 from sightline.session import JSON_TIMES, cut_lineage
 
 ROWS_PER_FILE = 1_000_000
+BYTES_PER_FILE = 256 * 1024 * 1024  # of JSON text, before compression
 INCREMENTAL = tuple(k for k, s in ARCHIVE_DATASETS.items() if not s["point_in_time"])
 
 
@@ -91,15 +92,22 @@ def data_path(root: str, spec: DatasetSpec, export_id: str) -> str:
     return f"{root}/data/{spec.layer}/{spec.name}/export_id={export_id}"
 
 
+def rows_within(df: DataFrame, rows_per_file: int, bytes_per_file: int) -> int:
+    """Row limit that also keeps files near a byte limit, from the mean size of the rows."""
+    mean = df.agg(F.avg(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0]
+    return rows_per_file if not mean else max(1, min(rows_per_file, int(bytes_per_file / mean)))
+
+
 def write_dataset(
     df: DataFrame, root: str, spec: DatasetSpec, export_id: str, exported_at: Column,
-    rows_per_file: int = ROWS_PER_FILE, fmt: str = "json",
+    rows_per_file: int = ROWS_PER_FILE, bytes_per_file: int = BYTES_PER_FILE, fmt: str = "json",
 ) -> DataFrame:
     """Write the rows of one export and read them back with their file names.
 
     Rows are range-partitioned by (partition columns, id): a day holding a third of all rows is
     spread over many tasks, and every file covers one narrow id range.
     """
+    rows_per_file = rows_within(df, rows_per_file, bytes_per_file)
     parts = partition_columns(spec, exported_at)
     rows = enveloped(df, spec).withColumns(parts)
     path = data_path(root, spec, export_id)
