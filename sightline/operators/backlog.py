@@ -48,22 +48,24 @@ def backlog_order() -> list[Column]:
 def ready_backlog(
     states: DataFrame, now: Column, base_seconds: int, max_seconds: int, include_inactive: bool = False
 ) -> DataFrame:
-    """Backlog rows whose retry wait is over; ``states`` carries the latest failure."""
-    return states.filter(in_first_backlog(include_inactive) & retry_ready(now, base_seconds, max_seconds))
+    """Backlog rows whose retry wait is over and that nobody holds; ``states`` carries the latest failure."""
+    free = retry_ready(now, base_seconds, max_seconds) & lease_ready(now)
+    return states.filter(in_first_backlog(include_inactive) & free)
 
 
 def claim_batch(
     states: DataFrame, ready: DataFrame, batch: int, owner: str, now: Column, lease_seconds: int
 ) -> DataFrame:
-    """The state table after the first ``batch`` ready rows without a live lease are claimed."""
-    chosen = ready.filter(lease_ready(now)).orderBy(*backlog_order()).limit(max(batch, 0))
+    """The state table after the first ``batch`` ready rows are claimed."""
+    chosen = ready.orderBy(*backlog_order()).limit(max(batch, 0))
     marked = states.join(
         chosen.select("vacancy_id", F.lit(True).alias("_claimed")), "vacancy_id", "left"
     )
     claimed = F.col("_claimed").isNotNull()
+    held_by = F.col("first_detail_lease_owner") if "first_detail_lease_owner" in states.columns else F.lit(None)
     return (
         marked.withColumn("detail_fetch_status", F.when(claimed, "running").otherwise(F.col("detail_fetch_status")))
-        .withColumn("first_detail_lease_owner", F.when(claimed, owner))
+        .withColumn("first_detail_lease_owner", F.when(claimed, owner).otherwise(held_by))
         .withColumn(
             "first_detail_lease_expires_at",
             F.when(claimed, now + F.make_interval(secs=F.lit(lease_seconds))).otherwise(
@@ -76,7 +78,7 @@ def claim_batch(
 
 def backlog_sizes(states: DataFrame, now: Column, base_seconds: int, max_seconds: int) -> DataFrame:
     """Total, ready and cooling-down rows for the active and the whole scope, in one pass."""
-    ready = retry_ready(now, base_seconds, max_seconds)
+    ready = retry_ready(now, base_seconds, max_seconds) & lease_ready(now)
     aggs = []
     for scope, inactive in (("active", False), ("all", True)):
         waiting = in_first_backlog(inactive)

@@ -66,7 +66,8 @@ def with_failure(spark, d):
 @query(
     "T1_backlog_top_k",
     f"""with {FAILED} select vacancy_id, first_seen_at, last_seen_at from full_state
-where waiting and ready order by first_seen_at, last_seen_at desc, vacancy_id limit 100""",
+where waiting and ready and (first_detail_lease_expires_at is null or first_detail_lease_expires_at <= timestamp '{NOW}')
+order by first_seen_at, last_seen_at desc, vacancy_id limit 100""",
 )
 def backlog_top(spark, d):
     ready = b.ready_backlog(states_with_failures(spark, d), as_of(NOW), BASE, CAP, include_inactive=True)
@@ -96,10 +97,10 @@ def refetch_counts(spark, d):
 
 @query(
     "G16_backlog_sizes",
-    f"""with {FAILED}, sized as (
+    f"""with {FAILED}, states_ as (select *, ready and (first_detail_lease_expires_at is null or first_detail_lease_expires_at <= timestamp '{NOW}') as free from full_state), sized as (
   select 'active' as scope, count(*) filter (where waiting and not is_probably_inactive) as backlog_size,
-         count(*) filter (where waiting and ready and not is_probably_inactive) as ready_size from full_state
-  union all select 'all', count(*) filter (where waiting), count(*) filter (where waiting and ready) from full_state)
+         count(*) filter (where waiting and free and not is_probably_inactive) as ready_size from states_
+  union all select 'all', count(*) filter (where waiting), count(*) filter (where waiting and free) from states_)
 select *, greatest(backlog_size - ready_size, 0) as cooldown_size from sized""",
 )
 def sizes(spark, d):
