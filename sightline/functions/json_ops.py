@@ -125,15 +125,6 @@ def type_error(value: Column, path: str, expected: str) -> Column:
     return F.when(found.isNotNull() & (found != "VOID") & ~good, F.lit(f"{name} must be {expected.lower()}"))
 
 
-def missing_error(value: Column, path: str) -> Column:
-    name = path.removeprefix("$.")
-    return F.when(required_string(value, path).isNull(), F.lit(f"{name} must be a non-empty string"))
-
-
-def first_error(*messages: Column) -> Column:
-    return F.coalesce(*messages)
-
-
 def lookup_id(value: Column, path: str) -> Column:
     """Id inside a small object, e.g. area.id."""
     return optional_string(value, f"{path}.id")
@@ -160,16 +151,6 @@ def parse_time(text: Column) -> Column:
     return F.when(zoned, parsed)
 
 
-def optional_time(value: Column, path: str) -> Column:
-    return parse_time(optional_string(value, path))
-
-
-def time_error(value: Column, path: str) -> Column:
-    text = optional_string(value, path)
-    name = path.removeprefix("$.")
-    return F.when(text.isNotNull() & parse_time(text).isNull(), F.lit(f"{name} is not a supported time"))
-
-
 def canonical_json(text: Column) -> Column:
     """Same object, same text: keys sorted, no blanks."""
     return F.to_json(parse(text))
@@ -209,10 +190,6 @@ def _python_json_hash():
     return digest
 
 
-def _json_member(name: str, json_text: Column) -> Column:
-    return F.concat(F.lit(f'"{name}":'), json_text)
-
-
 def detail_document(payload: Column) -> Column:
     """Versioned snapshot document around a detail payload (JSON text)."""
     body = F.to_json(parse(payload))

@@ -1,8 +1,8 @@
-"""Latest row per key, deduplication and top-k, all by map-side combinable aggregates."""
+"""Latest row per key and deduplication, all by map-side combinable aggregates."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,6 +41,3 @@ def superseded(
     return df.join(newest.select(F.col("_newest").alias(row_id)), row_id, "left_anti")
 
 
-def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """First k rows of an order; nothing when k is not positive."""
-    return df.orderBy(*order).limit(max(k, 0))

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from sightline.functions.scalars import observed_day
 from sightline.operators.inventory import smallest_entries
 from sightline.plans.bindings import as_of, table
 from sightline.plans.registry import query

@@ -8,7 +8,6 @@ from sightline.functions import json_ops as j
 from sightline.functions import scalars as sc
 from sightline.operators import history as h
 from sightline.operators import normalize as n
-from sightline.operators.retention import is_legacy_snapshot
 from sightline.plans.bindings import REQUESTS, SEEN, request_log, seen_events, table
 from sightline.plans.registry import query
 

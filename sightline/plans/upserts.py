@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sightline.functions import json_ops as j
 from sightline.functions.scalars import response_error
 from sightline.operators import normalize as n
 from sightline.operators import upsert as u
