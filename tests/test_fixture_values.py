@@ -53,7 +53,10 @@ def test_back_off_order(spark):
         ],
         "vacancy_id string, first_seen_at timestamp_ntz, last_seen_at timestamp_ntz, attempt int, attempted_at timestamp_ntz",
     ).withColumns(
-        {"detail_fetch_status": F.lit("failed"), "last_detail_fetched_at": F.lit(None).cast(UTC), "is_probably_inactive": F.lit(False)}
+        {
+            "detail_fetch_status": F.lit("failed"), "last_detail_fetched_at": F.lit(None).cast(UTC),
+            "is_probably_inactive": F.lit(False), "first_detail_lease_expires_at": F.lit(None).cast(UTC),
+        }
     )
     ready = bk.ready_backlog(states, F.lit(now).cast(UTC), 3600, 86400).orderBy(*bk.backlog_order())
     assert [x["vacancy_id"] for x in ready.collect()] == ["no_attempt", "old_failed"]
