@@ -76,15 +76,19 @@ def segment_hot_keys(
     if largest <= limit:
         return Segmented(df, keys, order, False)
     hot_small = hot.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(keys)], "_n")
-    cond = F.lit(True)
+    cond = None
     for i, c in enumerate(keys):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_h{i}"))
+        same = F.col(c).eqNullSafe(F.col(f"_h{i}"))
+        cond = same if cond is None else cond & same
     # Split points come from a sample, as in a range exchange; every row is still kept.
     per_key = F.greatest(F.ceil(F.col("_n") / F.lit(limit)), F.lit(2)) * SAMPLES_PER_SEGMENT
     step = F.greatest(F.floor(F.col("_n") / per_key), F.lit(1))
+    if keys:
+        candidates = df.join(F.broadcast(hot_small), cond, "inner")
+    else:  # one order over the whole frame: no key to join on
+        candidates = df.withColumn("_n", F.lit(largest))
     sampled = (
-        df.join(F.broadcast(hot_small), cond, "inner")
-        .filter(F.pmod(F.xxhash64(*order), step) == 0)
+        candidates.filter(F.pmod(F.xxhash64(*order), step) == 0)
         .groupBy(*[f"_h{i}" for i in range(len(keys))])
         .agg(F.array_sort(F.collect_set(_order_struct(order))).alias("_s"))
         .withColumn(
@@ -104,12 +108,15 @@ def segment_hot_keys(
     table = table.withColumn(
         "_coarse", F.filter("_s", lambda _x, i: F.pmod(i, F.lit(width)) == width - 1)
     )
+    if keys:
+        placed = df.join(F.broadcast(table), cond, "left")
+    else:
+        placed = df.withColumn("_s", table.select("_s").scalar()).withColumn("_coarse", table.select("_coarse").scalar())
     value = F.col(_ORD)
     block = F.size(F.filter("_coarse", lambda s: s < value)) * width
     inside = F.size(F.filter(F.slice("_s", block + 1, F.lit(width)), lambda s: s < value))
     out = (
-        df.withColumn(_ORD, _order_struct(order))
-        .join(F.broadcast(table), cond, "left")
+        placed.withColumn(_ORD, _order_struct(order))
         .withColumn(_SEG, F.when(F.col("_s").isNotNull(), block + inside).cast("int"))
         .drop("_s", "_coarse", _ORD, *[f"_h{i}" for i in range(len(keys))])
     )
