@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ("simhash", "suffix")
+MODULES = ("simhash", "suffix", "automaton")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
