@@ -1,20 +1,19 @@
 """Byte-level BPE by monoid tree reduction.
 
-A text is split in halves down to leaves, the leaves are encoded on their own, and neighbours are
-joined: the pieces around the seam are cut anew in a growing window until everything outside it is
-proven to be what the whole text would give. The proof rests on two facts about the splitting
-pattern. A piece depends on nothing left of its start. And a piece [s, e) of a text of n characters
-was decided by the characters up to e, or to s + 3 for contractions, so if e < n and s + 3 <= n it stays
-whatever follows. Hence the left side keeps all such pieces, and the right side keeps its pieces from
-the first of its piece boundaries that the window confirms.
+A text is split in halves down to leaves, the leaves are encoded by the library, and neighbours are
+joined: the text around the seam is encoded anew in a window that grows to both sides until the
+tokens outside it are proven to be those of the whole text. The proof rests on the splitting
+pattern: a piece is white space alone, or characters other than white space after at most one space. So
+white space behind another character always starts a piece, whatever stands before or follows, and
+the pattern looks at nothing left of a piece's start. A window reaches from the last such place of the
+left side to the first one of the right side. A side without one is encoded anew whole.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+from collections.abc import Iterable
 from functools import lru_cache
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,85 +26,63 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 from sightline.llm.common import ready
 
 LEAF = 2048  # characters
-CACHED_PIECES = 300_000  # pieces a worker remembers; the memory starts anew when it is full
-LOOK_AHEAD = 3  # characters a piece may look at from its start on, whatever its length: the longest contraction
-
-Node = tuple[list[str], list[tuple[int, ...]]]  # pieces, and the ids of each
+STEP = 64  # first width of a window on either side of a seam
+Node = tuple[str, list[int]]  # a text and its ids
 
 
 class Codec:
-    """Encoder and decoder for a file of ranks and a splitting pattern."""
+    """Encoder and decoder for a file of ranks and a splitting pattern of the kind described above."""
 
     def __init__(self, path: str, pattern: str, leaf: int = LEAF):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
         self.bytes_of = {r: t for t, r in self.ranks.items()}
-        # White space by its Unicode property, as the library reads the pattern; Python's own class is wider.
-        self.cut: Callable[[str], list[str]] = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        library = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={})
-        self.merge = library.encode_ordinary  # one piece, whatever is in it
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
+        # By the Unicode property, as the library reads it; Python's own class is wider.
+        self.starts = regex.compile(r"(?<=\P{White_Space})\p{White_Space}")
         self.leaf = leaf
 
-    def ids_of(self, piece: str) -> tuple[int, ...]:
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = tuple(self.merge(piece))
-            if len(piece) <= 64:
-                if len(self.known) >= CACHED_PIECES:
-                    self.known.clear()
-                self.known[piece] = ids
-        return ids
-
-    def leaf_node(self, text: str) -> Node:
-        pieces = self.cut(text)
-        get = self.known.get
-        return pieces, [get(p) or self.ids_of(p) for p in pieces]
+    def last_start(self, text: str) -> int:
+        """The last place that surely starts a piece, 0 if there is none."""
+        width = STEP
+        while True:
+            begin = max(0, len(text) - width)
+            found = [m.start() for m in self.starts.finditer(text, begin)]
+            if found or not begin:
+                return found[-1] if found else 0
+            width *= 2
+
+    def first_start(self, text: str) -> int:
+        """The first place that surely starts a piece, the end if there is none."""
+        found = self.starts.search(text)
+        return found.start() if found else len(text)
+
+    def aligned(self, ids: Iterable[int], size: int) -> int:
+        """How many of ``ids`` make up ``size`` bytes; a piece boundary is always a token boundary."""
+        n = 0
+        for i in ids:
+            if not size:
+                break
+            size -= len(self.bytes_of[i])
+            n += 1
+        return n
 
     def join(self, left: Node, right: Node) -> Node:
         """The node of the concatenated text."""
-        if not left[0] or not right[0]:
-            return left if left[0] else right
-        pieces, ids = left
-        keep, tail = len(pieces), 0  # characters behind the kept pieces
-        while keep and (tail == 0 or len(pieces[keep - 1]) + tail < LOOK_AHEAD):
-            keep -= 1
-            tail += len(pieces[keep])
-        seam, taken, reach = "".join(pieces[keep:]), 0, 0
-        starts = list(accumulate((len(p) for p in right[0]), initial=0))
-        want = 16
-        while True:
-            while taken < len(right[0]) and reach < want:
-                reach += len(right[0][taken])
-                taken += 1
-            window = seam + "".join(right[0][:taken])
-            fresh = self.cut(window)
-            complete = taken == len(right[0])
-            at = 0
-            boundary = dict(zip(starts[: taken + 1], range(taken + 1)))
-            for n, piece in enumerate(fresh):
-                if at - len(seam) in boundary:  # from here on the right side's pieces hold
-                    rest = boundary[at - len(seam)]
-                    return (
-                        pieces[:keep] + fresh[:n] + right[0][rest:],
-                        ids[:keep] + [self.ids_of(p) for p in fresh[:n]] + right[1][rest:],
-                    )
-                at += len(piece)
-                if not complete and (at >= len(window) or at - len(piece) + LOOK_AHEAD > len(window)):
-                    break  # this piece may still change
-            else:
-                return pieces[:keep] + fresh, ids[:keep] + [self.ids_of(p) for p in fresh]
-            want *= 2
+        a, b = self.last_start(left[0]), self.first_start(right[0])
+        seam = left[0][a:] + right[0][:b]
+        drop = self.aligned(reversed(left[1]), len(left[0][a:].encode()))
+        skip = self.aligned(right[1], len(right[0][:b].encode()))
+        return left[0] + right[0], left[1][: len(left[1]) - drop] + self.library(seam) + right[1][skip:]
 
     def node(self, text: str) -> Node:
         if len(text) <= self.leaf:
-            return self.leaf_node(text)
+            return text, self.library(text)
         half = len(text) // 2
         return self.join(self.node(text[:half]), self.node(text[half:]))
 
     def encode(self, text: str | None) -> np.ndarray:
-        ids = self.node(text)[1] if text else []
-        return np.fromiter(chain.from_iterable(ids), np.int32)
+        return np.array(self.node(text)[1] if text else [], np.int32)
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of the ids, halves concatenated up the tree."""
