@@ -65,3 +65,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return current.groupBy("b").agg(F.min("a").alias("root")).selectExpr("b AS node", "root").union(
         current.selectExpr("a AS node", "a AS root").distinct()
     )
+
+
+def labelled_ids(labels: DataFrame, label: str, modulus: int, held_out: int, most: int, id_col: str = "doc_id") -> DataFrame:
+    """(``id_col``, y) of at most ``most`` labelled documents outside the held-out fold, the least by a hash of the id.
+
+    Labels that are null are left out; a document labelled twice counts once, with its least label.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col, modulus) != held_out))
+    known = known.groupBy(id_col).agg(F.min(label).cast("double").alias("y"))
+    return known.orderBy(F.xxhash64(id_col), id_col).limit(most)
