@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from sightline.llm.common import ready
+from sightline.llm.rolling import Texts, chunks, mix, seen_before
 
 PASSAGE_WORDS = 128
-CHUNK_BYTES = 2 << 20
 TRAIN_DOCUMENTS = 3_000  # labelled documents a model is fitted on, at most
 CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b"#*$%&", b"|<>{}[]\\/=_~^@", b"!?", b".,;:", b"'\"()-", b"\n", b" \t\r\x0b\x0c")
 N_FEATURES = len(CLASSES) + 12
@@ -32,39 +32,15 @@ def _class_of() -> np.ndarray:
 
 
 _CLASS = _class_of()
-_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-
-
-def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(0, n - 1), _BASE)]), dtype=np.uint64)
-
-
-def _first_seen(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """True for the first of equal values of an owner; both in reading order."""
-    key = value * np.uint64(0xD6E8FEB86659FD93) + owner.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-    out = np.zeros(len(key), bool)
-    out[np.unique(key, return_index=True)[1]] = True
-    return out
-
-
 def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(features, number of passages of each text); a text without words is one passage of zeros."""
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    sizes = np.array([len(t) + 1 for t in texts])
-    begin = np.cumsum(sizes) - sizes
-    blank = _BLANK[data]
-    start = np.flatnonzero(~blank & np.r_[True, blank[:-1]])
-    end = np.flatnonzero(~blank & np.r_[blank[1:], True]) + 1
-    doc = np.searchsorted(begin, start, "right") - 1
-    words = np.bincount(doc, minlength=len(texts))
-    first = np.cumsum(words) - words
+    own = Texts(texts)
+    data, begin, sizes, start, end, doc, words, place = own.data, own.begin, own.sizes + 1, own.start, own.end, own.doc, own.words, own.place
     count = np.maximum(1, -(-words // PASSAGE_WORDS))
     out = np.zeros((int(count.sum()), N_FEATURES), np.float32)
     if not len(start):
         return out, count
     base = np.cumsum(count) - count
-    place = np.arange(len(start)) - first[doc]
     passage = base[doc] + place // PASSAGE_WORDS
     heads = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
     rows = passage[heads]
@@ -78,26 +54,21 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         total = np.concatenate([[0], np.cumsum(kinds == k, dtype=np.int32)])
         out[rows, k] = (total[right] - total[left]) / size
     length = end - start
-    power = _powers(len(data))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)])
-    inverse = pow(int(_BASE), -1, 1 << 64)
-    back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(data) - 1, np.uint64(inverse))]), dtype=np.uint64)
-    value = (total[end] - total[start]) * back[start]
+    value = own.hashes(start, end)
     mean = lambda x: np.add.reduceat(x.astype(np.float64), heads) / n
     last = data[end - 1]
     head = data[start]
     two, three = np.zeros(len(start), bool), np.zeros(len(start), bool)
     two[1:] = value[1:] == value[:-1]
-    triple = value.copy()
-    triple[2:] = value[2:] + value[1:-1] * np.uint64(31) + value[:-2] * np.uint64(961)
-    three = (place >= 2) & ~_first_seen(doc, triple)
+    at, triple = own.grams(value, 3)
+    three[at + 2] = seen_before(triple)
     k = len(CLASSES) + 1
     for column in (
         mean(length) / 10,
         mean(length > 12),
         mean(length < 3),
-        mean(~_first_seen(passage, value)),
-        mean(~_first_seen(doc, value)),
+        mean(seen_before(mix(value + passage.astype(np.uint64)))),
+        mean(seen_before(mix(value + doc.astype(np.uint64)))),
         mean(two & (place > 0)),
         mean(three),
         mean((_CLASS[last] == 3) | (_CLASS[last] == 4) | (_CLASS[last] == 5)),
@@ -173,20 +144,6 @@ def fit(features: np.ndarray, count: np.ndarray, y: np.ndarray, width: int = 24,
     return Attention(prior, {**w, "mean": mean, "scale": scale})
 
 
-def _chunks(texts):
-    """Texts as bytes in chunks of bounded size."""
-    chunk, size = [], 0
-    for text in texts:
-        raw = text.encode() if text else b""
-        if chunk and size + len(raw) > CHUNK_BYTES:
-            yield chunk
-            chunk, size = [], 0
-        chunk.append(raw)
-        size += len(raw)
-    if chunk:
-        yield chunk
-
-
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Attention:
     """Fit on the documents that ``labels`` (``id_col``, y) names, whose number the caller bounds.
 
@@ -220,7 +177,7 @@ def quality_scores(df: DataFrame, model: Attention, text_col: str = "text", outp
 
     @F.pandas_udf(DoubleType())
     def score(texts: pd.Series) -> pd.Series:
-        parts = [model.scores(*passages(chunk)) for chunk in _chunks(texts)]
+        parts = [model.scores(*passages(chunk)) for chunk in chunks(texts)]
         return pd.Series(np.concatenate([np.zeros(0), *parts]))
 
     return df.withColumn(output, score(F.col(text_col)))

@@ -9,7 +9,7 @@ import numpy as np
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 18  # the arrays of a chunk stay in the cache
 
 
 def chunks(texts: Iterable[str | None], most: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
