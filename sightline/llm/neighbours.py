@@ -3,7 +3,7 @@
 Terms are the words and word beginnings that occur in examples of label 1 more often than chance allows. Examples
 lie in blocks; for each term a block knows its largest weight. A text adds these up to a bound for each
 block and opens blocks from the highest bound on, until no other can hold one of the nearest ones.
-The neighbours vote with their cosine, and votes become probabilities by monotone calibration on the
+The neighbours vote with a power of their cosine, and votes become probabilities by monotone calibration on the
 examples themselves, each judged by the others.
 """
 
@@ -21,12 +21,14 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 
 from sightline.llm.common import cut_lineage, ready
 
-TRAIN_DOCUMENTS = 6_000  # labelled documents that are examples, at most
+TRAIN_DOCUMENTS = 12_000  # labelled documents that are examples, at most
 MOST_TERMS = 5_000
-SURPRISE = 6.0  # standard deviations by which a term exceeds its expected count in label 1
-BEGINNING = 5  # letters of a word beginning
+SURPRISE = 5.0  # standard deviations by which a term exceeds its expected count in label 1
+BEGINNING = 4  # letters of a word beginning
 BLOCK = 32
-NEIGHBOURS = 15
+NEIGHBOURS = 31
+SHARPNESS = 4  # power of the cosine in a vote
+LEAST_HELD = 4  # examples that hold a term, at least
 _RUNS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -122,7 +124,7 @@ class Model:
         self.steps, self.chance = monotone(np.array(votes), np.array(truth)) if votes else (np.zeros(1), np.full(1, 0.5))
 
     def vote(self, found: list[tuple[float, int]]) -> float:
-        weights = np.array([s for s, _ in found])
+        weights = np.array([s**SHARPNESS for s, _ in found])
         return round(float(weights @ self.labels[[k for _, k in found]] / weights.sum()), 12)
 
     def judge(self, text: str | None) -> tuple[float, list[dict]]:
@@ -160,7 +162,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     sums = chosen.mapInPandas(count, "term string, held long, ones long").groupBy("term").agg(F.sum("held").alias("held"), F.sum("ones").alias("ones"))
     surprise = (F.col("ones") - share * F.col("held")) / F.sqrt(F.col("held") * share * (1 - share))
-    terms = sums.where("held >= 3").withColumn("z", surprise).where(F.col("z") >= SURPRISE).orderBy(F.desc("z"), "term").limit(MOST_TERMS)
+    terms = sums.where(F.col("held") >= LEAST_HELD).withColumn("z", surprise).where(F.col("z") >= SURPRISE).orderBy(F.desc("z"), "term").limit(MOST_TERMS)
     known = frozenset(r["term"] for r in terms.collect())
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -234,6 +234,17 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return prints.join(component, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 3) -> DataFrame:
+    """The rows of ``df`` whose id names their component, one row for each such id, all columns kept.
+
+    Ids name documents, so rows that repeat an id collapse to one. A row without id stays only if its component
+    has no id at all, and then one such row stays.
+    """
+    found = simhash_components(df, id_col, text_col, bits)
+    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stays")).distinct()
+    return df.join(stay, df[id_col].eqNullSafe(stay["_stays"]), "left_semi").dropDuplicates([id_col])
+
+
 def hex_digits(column: str) -> F.Column:
     """A signed 64-bit value as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
