@@ -36,7 +36,7 @@ def has_letter(word: str) -> bool:
 
 
 def grams(word: str, n: int) -> list[str]:
-    marked = f"<{word}>"
+    marked = f"<{word}>" if n > 1 else word
     return [marked[k : k + n] for k in range(len(marked) - n + 1)]
 
 
@@ -57,7 +57,7 @@ class Model:
                 for gram in grams(word, n):
                     table[gram] += row
             tables.append(self._add(table, str(n)))
-        self.weights = np.concatenate(tables) if self.languages else np.zeros((0, 0))
+        self.weights = np.concatenate(tables)
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def _add(self, table: dict[str, np.ndarray], kind: str) -> np.ndarray:
@@ -65,9 +65,8 @@ class Model:
         base = len(self.row)
         for k, name in enumerate(table):
             self.row[kind + name] = base + k
-        seen = np.array(list(table.values())).reshape(len(table), -1)
-        smooth = seen + 0.5
-        return np.log(smooth / (seen.sum(0) + 0.5 * max(1, len(table)))).reshape(len(table), len(self.languages))
+        seen = np.array(list(table.values())).reshape(len(table), len(self.languages))
+        return np.log((seen + 0.5) / (seen.sum(0) + 0.5 * max(1, len(table))))
 
     def rows_of(self, word: str) -> tuple[int, ...]:
         """Rows whose mean is the word's score; none for a word without a letter or any known gram."""
