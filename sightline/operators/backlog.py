@@ -90,6 +90,11 @@ def backlog_sizes(states: DataFrame, now: Column, base_seconds: int, max_seconds
     return rows.withColumn("cooldown_size", cooling)
 
 
+def last_seen_in(states: DataFrame, run_id: str) -> DataFrame:
+    """The states whose latest sighting belongs to this run: the candidates of the run."""
+    return states.filter(F.col("last_seen_run_id") == run_id)
+
+
 def refetch_selection(candidates: DataFrame, limit: int) -> DataFrame:
     """The most urgent candidates: by reason, latest sighting to the second, then id."""
     rank = F.lit(len(REASON_RANK))

@@ -17,10 +17,9 @@ def change_points(
     keys: list[str],
     order: list[str],
     value: str,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Sightings where the value appeared first or differs from the previous one of the key."""
-    lagged = with_lag(events, keys, order, {"previous_value": value}, hot_rows)
+    lagged = with_lag(events, keys, order, {"previous_value": value})
     reason = F.when(F.col("previous_value").isNull(), "first_seen").when(
         F.col("previous_value") != F.col(value), "short_hash_changed"
     )
@@ -97,18 +96,23 @@ def reconcile_counts(flagged: DataFrame, threshold: int = INACTIVE_AFTER_MISSING
 
 
 def missing_run_counts(
-    events: DataFrame, key: str = "vacancy_id", run: str = "crawl_run_id", threshold: int = 2
+    events: DataFrame, key: str = "vacancy_id", run: str = "crawl_run_id", at: str = "seen_at", threshold: int = 2,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
-    """The counter after all runs: runs since the last one that sighted the key."""
-    runs = with_running(events.select(run).distinct(), [], [run], {"run_index": ("rows", F.lit(1))})
-    last = runs.agg(F.max("run_index").alias("n"))
-    newest = events.groupBy(key).agg(F.max(run).alias(run))
+    """The counter after all runs: runs since the last one that sighted the key.
+
+    Runs follow each other by their start (``runs``: run and started_at; without it their first sighting), never by
+    their id, which carries no order.
+    """
+    started = events.groupBy(run).agg(F.min(at).alias("started_at")) if runs is None else runs.select(run, "started_at")
+    numbered = with_running(started, [], ["started_at", run], {"run_index": ("rows", F.lit(1))})
+    last = numbered.agg(F.max("run_index").alias("n"))
+    newest = events.join(numbered.select(run, "run_index"), run).groupBy(key).agg(
+        F.max("run_index").alias("run_index"), F.max_by(run, "run_index").alias("last_seen_run_id")
+    )
     gap = (last.scalar() - F.col("run_index")).cast("int")
-    return newest.join(runs, run).select(
-        key,
-        F.col(run).alias("last_seen_run_id"),
-        gap.alias("consecutive_missing_runs"),
-        (gap >= threshold).alias("is_probably_inactive"),
+    return newest.select(
+        key, "last_seen_run_id", gap.alias("consecutive_missing_runs"), (gap >= threshold).alias("is_probably_inactive")
     )
 
 

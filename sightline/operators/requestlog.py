@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sightline.functions import json_ops as j
 from sightline.functions.scalars import CAPTCHA, endpoint_kind, endpoint_template, status_class
-from sightline.operators.segments import exact_percentiles, with_lag, with_running
+from sightline.operators.segments import exact_percentiles, with_lag, with_ordered, with_running
 
 # Upper bounds of the duration histogram, in seconds.
 DURATION_BUCKETS = (0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0)
@@ -18,15 +18,11 @@ def seconds_between(earlier: Column, later: Column) -> Column:
     return F.when(micros < 0, 0.0).otherwise(micros / F.lit(1e6))
 
 
-def annotate(log: DataFrame, session: list[str], at: str, row_id: str, hot_rows: int | None = None) -> DataFrame:
+def annotate(log: DataFrame, session: list[str], at: str, row_id: str) -> DataFrame:
     """Request index, gap to the previous request, first captcha so far and minutes since it."""
-    order = [at, row_id]
     captcha_at = F.when(F.col("error_type") == CAPTCHA, F.col(at))
-    counted = with_running(
-        log, session, order,
-        {"request_index": ("rows", F.lit(1)), "first_captcha_at": ("min", captcha_at)}, hot_rows,
-    )
-    lagged = with_lag(counted, session, order, {"_previous_at": at}, hot_rows)
+    running = {"request_index": ("rows", F.lit(1)), "first_captcha_at": ("min", captcha_at)}
+    lagged = with_ordered(log, session, [at, row_id], {"_previous_at": at}, running)
     since = F.col("first_captcha_at")
     minutes = F.when(F.col(at) >= since, F.round(seconds_between(since, F.col(at)) / 60, 3))
     return lagged.withColumns(
@@ -294,13 +290,12 @@ def unless(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def held_for(
-    violations: DataFrame, series: list[str], at: str, step_seconds: int, hold_seconds: int,
-    hot_rows: int | None = None,
+    violations: DataFrame, series: list[str], at: str, step_seconds: int, hold_seconds: int
 ) -> DataFrame:
     """Runs of consecutive violating windows that lasted long enough to fire."""
     slot = F.expr(f"unix_seconds(cast(`{at}` as timestamp)) div {step_seconds}")
     rows = violations.select(*series, slot.alias("_slot")).distinct()
-    numbered = with_running(rows, series, ["_slot"], {"_n": ("rows", F.lit(1))}, hot_rows)
+    numbered = with_running(rows, series, ["_slot"], {"_n": ("rows", F.lit(1))})
     islands = numbered.groupBy(*series, (F.col("_slot") - F.col("_n")).alias("_island")).agg(
         (F.min("_slot") * step_seconds).alias("from_epoch"), ((F.max("_slot") + 1) * step_seconds).alias("to_epoch")
     )

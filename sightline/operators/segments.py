@@ -1,199 +1,81 @@
 """Ordered per-key computations that survive a hot key.
 
-A window partitioned by key puts each key in one task. When one key holds a third of a
-large table that task never ends, so these operators first measure the largest key. If it
-is small, a plain window is used. If not, the hot keys are cut into ordered segments, the
-window runs per (key, segment), and what crosses a segment border is carried by a small
-per-segment summary. The result is the same as with the plain window.
-
-``order`` lists columns in ascending order, nulls first; it should be unique per key.
+A window partitioned by key puts each key in one task, and a key that holds a third of a large table
+never ends. Here rows are dealt to ranges of (keys, order), so a key that is too large for one range
+runs on in the next ones. The window runs per (range, key). Only the last key of a range can go on, so
+one summary row per range is carried forward and joined back on the range. The plan is the same for
+any input, and nothing is measured beforehand. The result is that of the plain window.
+
+``order`` lists columns in ascending order, nulls first; it should be unique per key. Rows that tie in all
+of them are told apart by a hash of the row, so that even equal keys and orders can be cut.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_ROWS = 4_000_000  # a key with more rows than this is cut
-MAX_SEGMENTS = 1024  # over all hot keys together, so the split table has a fixed bound
-SAMPLES_PER_SEGMENT = 16
-
-_SEG = "_segment"
-_ORD = "_order_value"
-
-
-@dataclass
-class Segmented:
-    """``df`` with a segment number per row (null for ordinary keys when ``hot``)."""
-
-    df: DataFrame
-    keys: list[str]
-    order: list[str]
-    hot: bool
-
-    def window(self):
-        parts = [*self.keys, _SEG] if self.hot else self.keys
-        return Window.partitionBy(*parts).orderBy(*[F.col(c).asc_nulls_first() for c in self.order])
-
-    def summary(self, *aggs: Column) -> DataFrame:
-        """One row per hot (key, segment): at most MAX_SEGMENTS plus the number of hot keys."""
-        return self.df.filter(F.col(_SEG).isNotNull()).groupBy(*self.keys, _SEG).agg(*aggs)
-
-    def attach(self, carried: DataFrame) -> DataFrame:
-        """Join the bounded per-segment frame back on (key, segment)."""
-        small = carried.select(
-            *[F.col(c).alias(f"_k{i}") for i, c in enumerate(self.keys)],
-            F.col(_SEG).alias("_ks"),
-            *[c for c in carried.columns if c not in (*self.keys, _SEG)],
-        )
-        cond = F.col(_SEG) == F.col("_ks")
-        for i, c in enumerate(self.keys):
-            cond = cond & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-        joined = self.df.join(F.broadcast(small), cond, "left")
-        return joined.drop("_ks", *[f"_k{i}" for i in range(len(self.keys))])
-
-
-def _order_struct(order: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
-
-
-def segment_hot_keys(
-    df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = None
-) -> Segmented:
-    """Measure the key sizes and cut hot keys into ordered segments (eager, key columns only)."""
-    floor = hot_rows or HOT_ROWS
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    if not largest or largest <= floor:
-        return Segmented(df, keys, order, False)
-    limit = max(floor, math.ceil(total / MAX_SEGMENTS))
-    # Keys above the limit number at most total / limit <= MAX_SEGMENTS.
-    hot = sizes.filter(F.col("_n") > limit)
-    if largest <= limit:
-        return Segmented(df, keys, order, False)
-    hot_small = hot.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(keys)], "_n")
-    cond = None
-    for i, c in enumerate(keys):
-        same = F.col(c).eqNullSafe(F.col(f"_h{i}"))
-        cond = same if cond is None else cond & same
-    # Split points come from a sample, as in a range exchange; every row is still kept.
-    per_key = F.greatest(F.ceil(F.col("_n") / F.lit(limit)), F.lit(2)) * SAMPLES_PER_SEGMENT
-    step = F.greatest(F.floor(F.col("_n") / per_key), F.lit(1))
-    if keys:
-        candidates = df.join(F.broadcast(hot_small), cond, "inner")
-    else:  # one order over the whole frame: no key to join on
-        candidates = df.withColumn("_n", F.lit(largest))
-    sampled = (
-        candidates.filter(F.pmod(F.xxhash64(*order), step) == 0)
-        .groupBy(*[f"_h{i}" for i in range(len(keys))])
-        .agg(F.array_sort(F.collect_set(_order_struct(order))).alias("_s"))
-        .withColumn(
-            "_s",
-            F.filter("_s", lambda _x, i: F.pmod(i, F.lit(SAMPLES_PER_SEGMENT)) == SAMPLES_PER_SEGMENT - 1),
-        )
-    )
-    rows = sampled.collect()  # bounded by MAX_SEGMENTS split points
-    if not rows:
-        return Segmented(df, keys, order, False)
-    fields = [T.StructField(f"_h{i}", df.schema[c].dataType) for i, c in enumerate(keys)]
-    point = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
-    table = df.sparkSession.createDataFrame(
-        [tuple(r) for r in rows], T.StructType([*fields, T.StructField("_s", T.ArrayType(point))])
-    )
-    width = 32
-    table = table.withColumn(
-        "_coarse", F.filter("_s", lambda _x, i: F.pmod(i, F.lit(width)) == width - 1)
-    )
-    if keys:
-        placed = df.join(F.broadcast(table), cond, "left")
-    else:
-        placed = df.withColumn("_s", table.select("_s").scalar()).withColumn("_coarse", table.select("_coarse").scalar())
-    value = F.col(_ORD)
-    block = F.size(F.filter("_coarse", lambda s: s < value)) * width
-    inside = F.size(F.filter(F.slice("_s", block + 1, F.lit(width)), lambda s: s < value))
-    out = (
-        placed.withColumn(_ORD, _order_struct(order))
-        .withColumn(_SEG, F.when(F.col("_s").isNotNull(), block + inside).cast("int"))
-        .drop("_s", "_coarse", _ORD, *[f"_h{i}" for i in range(len(keys))])
-    )
-    return Segmented(out, keys, order, True)
+from sightline.session import cut_lineage
 
+_OVER_RANGES = {"sum": F.sum, "count": F.sum, "rows": F.sum, "min": F.min, "max": F.max}
+
+
+def _aggregate(kind: str, column: str) -> Column:
+    if kind == "rows":
+        return F.count(F.lit(1))
+    return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[kind](F.col(column))
 
-def with_lag(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    outputs: dict[str, str],
-    hot_rows: int | None = None,
-) -> DataFrame:
-    """Add ``outputs[new] = previous value of column`` per key in order; null on the first row."""
-    seg = segment_hot_keys(df, keys, order, hot_rows)
-    if not seg.hot:
-        w = seg.window()
-        return df.select("*", *[F.lag(c).over(w).alias(new) for new, c in outputs.items()])
-    values = F.struct(*[F.col(c).alias(new) for new, c in outputs.items()])
-    tails = seg.summary(F.max_by(values, _order_struct(order)).alias("_tail"))
-    ahead = Window.partitionBy(*keys).orderBy(_SEG)
-    carried = tails.select(*keys, _SEG, F.lag("_tail").over(ahead).alias("_carry"))
-    w = seg.window()
-    seg.df = seg.attach(carried)
-    lagged = seg.df.select(
-        "*",
-        F.row_number().over(w).alias("_rn"),
-        *[F.lag(c).over(w).alias(f"_lag_{new}") for new, c in outputs.items()],
-    )
-    picked = [
-        F.when((F.col("_rn") == 1) & F.col(_SEG).isNotNull(), F.col("_carry")[new])
-        .otherwise(F.col(f"_lag_{new}"))
-        .alias(new)
-        for new in outputs
-    ]
-    return lagged.select(*df.columns, *picked)
 
+def _tie(df: DataFrame) -> Column:
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*plain)
 
-def with_running(
+
+def with_ordered(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    outputs: dict[str, tuple[str, Column]],
-    hot_rows: int | None = None,
+    lags: dict[str, str] | None = None,
+    running: dict[str, tuple[str, Column]] | None = None,
 ) -> DataFrame:
-    """Add inclusive running values per key in order: ``outputs[new] = (kind, expression)``.
+    """Add previous values and running values per key in order, in one pass over ranges.
 
-    Kinds: ``sum``, ``count``, ``min``, ``max`` and ``rows`` (running row number).
+    ``lags[new]`` names the column whose previous value is wanted, null on the first row. ``running[new]`` is
+    (kind, expression), inclusive; kinds are ``sum``, ``count``, ``min``, ``max`` and ``rows`` (row number).
     """
-    sources = {f"_x_{new}": expr for new, (_kind, expr) in outputs.items()}
-    base = df.select("*", *[e.alias(n) for n, e in sources.items()])
-    seg = segment_hot_keys(base, keys, order, hot_rows)
-
-    def aggregate(kind: str, column: str) -> Column:
-        if kind == "rows":
-            return F.count(F.lit(1))
-        return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[kind](F.col(column))
-
-    if not seg.hot:
-        w = seg.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cols = [aggregate(k, f"_x_{n}").over(w).alias(n) for n, (k, _e) in outputs.items()]
-        return base.select(*df.columns, *cols)
-    totals = seg.summary(*[aggregate(k, f"_x_{n}").alias(f"_t_{n}") for n, (k, _e) in outputs.items()])
-    before = (
-        Window.partitionBy(*keys).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    over_segments = {"sum": F.sum, "count": F.sum, "rows": F.sum, "min": F.min, "max": F.max}
-    carried = totals.select(
-        *keys,
-        _SEG,
-        *[over_segments[k](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (k, _e) in outputs.items()],
-    )
-    w = seg.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seg.df = seg.attach(carried)
-    picked = []
-    for name, (kind, _expr) in outputs.items():
-        local, carry = aggregate(kind, f"_x_{name}").over(w), F.col(f"_c_{name}")
+    lags, running = lags or {}, running or {}
+    base = df.select("*", *[e.alias(f"_x_{n}") for n, (_k, e) in running.items()])
+    dealt = base.withColumn("_tie", _tie(df)).repartitionByRange(*keys, *order, "_tie")
+    # The ranges have to stay as they are while they are used twice: a recomputed task could move rows.
+    fixed = cut_lineage(dealt.withColumn("_range", F.spark_partition_id()))
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(True))
+    edges = fixed.groupBy("_range").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    # One row for each range below, so the broadcasts are bounded by the number of tasks.
+    in_last = fixed.join(F.broadcast(edges.select("_range", "_last")), "_range").filter(key.eqNullSafe(F.col("_last")))
+    values = F.struct(F.lit(True), *[F.col(c).alias(n) for n, c in lags.items()])
+    place = F.struct(*[F.col(c) for c in order], F.col("_tie"))
+    tails = in_last.groupBy("_range").agg(
+        F.first("_last").alias("_key"), F.max_by(values, place).alias("_tail"),
+        *[_aggregate(k, f"_x_{n}").alias(f"_t_{n}") for n, (k, _e) in running.items()],
+    )
+    heads = edges.select("_range", F.col("_first").alias("_key"), F.lit(True).alias("_head"))
+    before = Window.partitionBy("_key").orderBy("_range").rangeBetween(Window.unboundedPreceding, -1)
+    carried = heads.unionByName(tails, allowMissingColumns=True).select(
+        "_range", F.col("_key").alias("_first"), "_head", F.last("_tail", ignorenulls=True).over(before).alias("_tail"),
+        *[_OVER_RANGES[k](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (k, _e) in running.items()],
+    ).filter("_head").drop("_head")
+    joined = fixed.join(F.broadcast(carried), "_range", "left").withColumn("_goes_on", key.eqNullSafe(F.col("_first")))
+    window = Window.partitionBy("_range", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order], "_tie")
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = joined.select(
+        "*", F.row_number().over(window).alias("_place"),
+        *[F.lag(c).over(window).alias(f"_lag_{n}") for n, c in lags.items()],
+        *[_aggregate(k, f"_x_{n}").over(upto).alias(f"_run_{n}") for n, (k, _e) in running.items()],
+    )
+    picked = [F.when(F.col("_place") > 1, F.col(f"_lag_{n}")).when(F.col("_goes_on"), F.col("_tail")[n]).alias(n) for n in lags]
+    for name, (kind, _expr) in running.items():
+        local, carry = F.col(f"_run_{name}"), F.when(F.col("_goes_on"), F.col(f"_c_{name}"))
         if kind == "min":
             value = F.least(local, carry)
         elif kind == "max":
@@ -203,7 +85,17 @@ def with_running(
         else:
             value = local + F.coalesce(carry, F.lit(0))
         picked.append(value.alias(name))
-    return seg.df.select(*df.columns, *picked)
+    return seen.select(*df.columns, *picked)
+
+
+def with_lag(df: DataFrame, keys: list[str], order: list[str], outputs: dict[str, str]) -> DataFrame:
+    """Add ``outputs[new] = previous value of column`` per key in order; null on the first row."""
+    return with_ordered(df, keys, order, lags=outputs)
+
+
+def with_running(df: DataFrame, keys: list[str], order: list[str], outputs: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Add inclusive running values per key in order: ``outputs[new] = (kind, expression)``."""
+    return with_ordered(df, keys, order, running=outputs)
 
 
 def exact_percentiles(
@@ -212,7 +104,6 @@ def exact_percentiles(
     value: str,
     quantiles: dict[str, float],
     digits: int | None = 2,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Linear-interpolation percentiles per group, without gathering a group in one buffer.
 
@@ -223,8 +114,8 @@ def exact_percentiles(
         .groupBy(*groups, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = with_running(histogram, groups, ["_v"], {"_cum": ("sum", F.col("_c"))}, hot_rows)
-    sizes = histogram.groupBy(*groups).agg(F.sum("_c").alias("_n"))
+    ranked = with_running(histogram, groups, ["_v"], {"_cum": ("sum", F.col("_c"))})
+    sizes = ranked.groupBy(*groups).agg(F.max("_cum").alias("_n"))
     if groups:
         cond = None
         renamed = sizes.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], "_n")

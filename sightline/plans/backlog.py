@@ -8,7 +8,7 @@ from sightline.operators import backlog as b
 from sightline.operators import history as h
 from sightline.operators.inventory import metric_rows
 from sightline.plans.bindings import ATTEMPTS, SEEN, STATE, as_of, attempts, current_state, table
-from sightline.plans.history import CANDIDATES_SQL, candidates
+from sightline.plans.history import CANDIDATES_SQL, RUN, candidates
 from sightline.plans.registry import query
 
 NOW = "2024-01-30 12:00:00"
@@ -76,12 +76,12 @@ def backlog_top(spark, d):
 
 @query(
     "T2_refetch_top_k",
-    f"""with {CANDIDATES_SQL} select vacancy_id, reason from reasons where reason is not null
+    f"""with {CANDIDATES_SQL} select vacancy_id, reason from reasons where reason is not null and last_seen_run_id = '{RUN}'
 order by case reason when 'first_seen' then 0 when 'short_changed' then 1 else 2 end,
          date_trunc('second', last_seen_at) desc, vacancy_id limit 700""",
 )
 def refetch_top(spark, d):
-    return b.refetch_selection(candidates(spark, d), 700).select("vacancy_id", "reason")
+    return b.refetch_selection(b.last_seen_in(candidates(spark, d), RUN), 700).select("vacancy_id", "reason")
 
 
 @query(
@@ -89,10 +89,10 @@ def refetch_top(spark, d):
     f"""with {CANDIDATES_SQL} select count(*) filter (where reason = 'first_seen') as first_seen,
 count(*) filter (where reason = 'short_changed') as short_changed,
 count(*) filter (where reason = 'ttl_refresh') as ttl_refresh,
-greatest(count(reason) - 700, 0) as skipped_due_to_limit from reasons""",
+greatest(count(reason) - 700, 0) as skipped_due_to_limit from reasons where last_seen_run_id = '{RUN}'""",
 )
 def refetch_counts(spark, d):
-    return b.refetch_counts(candidates(spark, d), 700)
+    return b.refetch_counts(b.last_seen_in(candidates(spark, d), RUN), 700)
 
 
 @query(

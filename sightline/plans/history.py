@@ -196,17 +196,17 @@ def reconcile_counts(spark, d):
 @query(
     "M8_missing_runs_over_history",
     f"""
-with {SEEN}, runs as (select crawl_run_id, row_number() over (order by crawl_run_id) as i
-                      from (select distinct crawl_run_id from seen)),
-last as (select vacancy_id, max(crawl_run_id) as crawl_run_id from seen group by vacancy_id)
-select vacancy_id, crawl_run_id as last_seen_run_id,
+with {SEEN}, named as (select *, md5(crawl_run_id) as run from seen),
+runs as (select run, row_number() over (order by min(seen_at), run) as i from named group by run),
+last as (select vacancy_id, max(i) as i from named join runs using (run) group by vacancy_id)
+select vacancy_id, run as last_seen_run_id,
        cast((select max(i) from runs) - i as int) as consecutive_missing_runs,
        (select max(i) from runs) - i >= 2 as is_probably_inactive
-from last join runs using (crawl_run_id)
+from last join runs using (i)
 """,
 )
 def missing_history(spark, d):
-    return h.missing_run_counts(seen_events(spark, d))
+    return h.missing_run_counts(seen_events(spark, d).withColumn("crawl_run_id", F.md5(F.col("crawl_run_id").cast("binary"))))
 
 
 @query(

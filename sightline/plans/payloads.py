@@ -280,7 +280,7 @@ def byte_hash(spark, d):
 def noise(spark, d):
     a = detail_payloads(spark, d)
     salary = F.regexp_replace("payload_json", '"from":', '"from":1')
-    b = a.withColumn("payload_json", F.concat(F.lit('{"noise":1,'), F.substring(salary, 2, 1_000_000)))
+    b = a.withColumn("payload_json", F.concat(F.lit('{"noise":1,'), F.substr(salary, F.lit(2))))
     left = n.detail_records(a).select("doc_id", "detail_hash", "normalized_hash")
     right = n.detail_records(b).select("doc_id", F.col("detail_hash").alias("d2"), F.col("normalized_hash").alias("n2"))
     return left.join(right, "doc_id").select(

@@ -51,17 +51,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors in one process, so any folder is shared."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster in spark.checkpoint.dir.
 
-    Only where the setting is absent (local tests) is a temporary folder used.
+    A cluster without the setting is an error. A session in one process takes a temporary folder then.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    made = tempfile.mkdtemp(prefix="sightline-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context = spark.sparkContext
+    made = context._jsc.sc().getCheckpointDir()
+    if made.isDefined():
+        return made.get()
+    if not is_local(context.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="sightline-"))
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
