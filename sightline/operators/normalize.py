@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from sightline.functions import json_ops as j
 from sightline.session import spread
 
-MAX_DEPTH = 64
-
 
 def page_items(pages: DataFrame, body: str = "payload_json") -> DataFrame:
     """One row per item of a search page, with its position over all pages."""
@@ -218,72 +216,70 @@ def split_quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records.filter("_error is null").drop("_error"), records.filter("_error is not null")
 
 
-LEVELS_PER_CHECK = 2
+def _brackets(body: str) -> Column:
+    """How many containers a text opens: no document nests deeper than that."""
+    return F.length(F.regexp_replace(body, r"[^\[{]", ""))
 
 
-def _until_done(df: DataFrame, step, open_rows: Column, max_depth: int) -> DataFrame:
-    """Apply a narrow step until no row is open; a step leaves finished rows as they are.
+def _grown(start: Column, steps: Column, node: str, kids, result) -> Column:
+    """All nodes below ``start``, level by level inside one row, as an array of ``node`` structs.
 
-    Several levels are expanded between two checks, since a check reads the input once more. It
-    stops at the first open row, so only the last one is a full pass.
+    Each step replaces the open nodes by their children and keeps those that are a ``result``. A document is done when
+    none is open; steps beyond that change nothing. No job looks at the input to find out how deep it is.
     """
-    for _ in range(0, max_depth, LEVELS_PER_CHECK):
-        for _ in range(LEVELS_PER_CHECK):
-            df = step(df)
-        if df.filter(open_rows).isEmpty():
-            return df
-    raise ValueError(f"nesting deeper than {max_depth}")
+    array = f"array<{node}>"
+    state = f"struct<open:{array},done:{array}>"
+    empty = F.array().cast(array)
+
+    def step(acc: Column, _n: Column) -> Column:
+        below = F.flatten(F.transform(acc["open"], lambda x: F.coalesce(kids(x).cast(array), F.array().cast(array))))
+        kept = F.concat(acc["done"], F.filter(acc["open"], result)).cast(array)
+        return F.when(F.size(acc["open"]) == 0, acc).otherwise(F.struct(below.cast(array).alias("open"), kept.alias("done")).cast(state))
+
+    begin = F.struct(F.coalesce(start.cast(array), empty).alias("open"), empty.alias("done")).cast(state)
+    return F.aggregate(F.sequence(F.lit(0), steps), begin, step, lambda acc: acc["done"])
 
 
-def leaf_values(docs: DataFrame, doc_id: list[str], body: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+def leaf_values(docs: DataFrame, doc_id: list[str], body: str) -> DataFrame:
     """(doc, path, values): every leaf path with its sorted distinct JSON values.
 
-    Rows are expanded level by level inside one stage; leaves pass through, empty containers
+    A document is flattened inside its row, whatever its depth; leaves are kept, empty containers
     vanish. Only the final grouping by (doc, path) shuffles.
     """
-    obj = F.try_variant_get("v", "$", "map<string,variant>")
-    arr = F.try_variant_get("v", "$", "array<variant>")
-    container = obj.isNotNull() | arr.isNotNull()
-    pair = "array<struct<path:string,v:variant>>"
-
-    def step(df: DataFrame) -> DataFrame:
-        prefix = F.when(F.col("path") == "", F.lit("")).otherwise(F.concat("path", F.lit(".")))
-        df = df.withColumn("_m", obj)
-        members = F.transform(
-            F.map_entries("_m"), lambda e: F.struct(F.concat(prefix, e["key"]).alias("path"), e["value"].alias("v"))
-        )
-        elements = F.transform(
-            arr, lambda x: F.struct(F.concat(F.col("path"), F.lit("[]")).alias("path"), x.alias("v"))
-        )
-        self_ = F.array(F.struct("path", "v"))
-        children = F.coalesce(members.cast(pair), elements.cast(pair), self_.cast(pair))
-        return df.select(*doc_id, F.inline(children))
-
-    start = spread(docs.select(*doc_id, body)).select(*doc_id, F.lit("").alias("path"), j.parse(body).alias("v"))
-    flat = _until_done(start.filter("v is not null"), step, container, max_depth)
-    leaves = flat.filter("path <> ''").select(*doc_id, "path", F.to_json("v").alias("value"))
+    node = "struct<path:string,v:variant>"
+    members_of = lambda x: F.try_variant_get(x["v"], "$", "map<string,variant>")
+    elements_of = lambda x: F.try_variant_get(x["v"], "$", "array<variant>")
+
+    def kids(x: Column) -> Column:
+        prefix = F.when(x["path"] == "", F.lit("")).otherwise(F.concat(x["path"], F.lit(".")))
+        members = F.transform(F.map_entries(members_of(x)), lambda e: F.struct(F.concat(prefix, e["key"]).alias("path"), e["value"].alias("v")))
+        elements = F.transform(elements_of(x), lambda e: F.struct(F.concat(x["path"], F.lit("[]")).alias("path"), e.alias("v")))
+        return F.coalesce(members.cast(f"array<{node}>"), elements.cast(f"array<{node}>"))
+
+    def leaf(x: Column) -> Column:
+        return (x["path"] != "") & members_of(x).isNull() & elements_of(x).isNull()
+
+    parsed = spread(docs.select(*doc_id, body)).withColumn("_v", j.parse(body)).filter("_v is not null")
+    root = F.array(F.struct(F.lit("").alias("path"), F.col("_v").alias("v")))
+    flat = parsed.select(*doc_id, F.inline(_grown(root, _brackets(body), node, kids, leaf)))
+    leaves = flat.select(*doc_id, "path", F.to_json("v").alias("value"))
     return leaves.groupBy(*doc_id, "path").agg(F.array_sort(F.collect_set("value")).alias("leaf_values"))
 
 
-def tree_nodes(docs: DataFrame, doc_id: list[str], body: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+def tree_nodes(docs: DataFrame, doc_id: list[str], body: str) -> DataFrame:
     """Nodes of nested area trees: id, parent, level and path text; the last duplicate id wins."""
-    node = "array<struct<node:variant,level:int,names:array<string>,pos:array<int>,open:boolean>>"
+    node = "struct<node:variant,level:int,names:array<string>,pos:array<int>>"
 
-    def step(df: DataFrame) -> DataFrame:
-        kids = F.coalesce(F.try_variant_get("node", "$.areas", "array<variant>"), F.array().cast("array<variant>"))
-        done = F.array(F.struct("node", "level", "names", "pos", F.lit(False).alias("open")))
-        below = F.transform(
-            kids,
+    def kids(n: Column) -> Column:
+        return F.transform(
+            F.try_variant_get(n["node"], "$.areas", "array<variant>"),
             lambda x, i: F.struct(
                 x.alias("node"),
-                (F.col("level") + 1).alias("level"),
-                F.concat(F.col("names"), F.array(F.try_variant_get(x, "$.name", "string"))).alias("names"),
-                F.concat(F.col("pos"), F.array(i)).alias("pos"),
-                F.lit(True).alias("open"),
+                (n["level"] + 1).alias("level"),
+                F.concat(n["names"], F.array(F.try_variant_get(x, "$.name", "string"))).alias("names"),
+                F.concat(n["pos"], F.array(i)).alias("pos"),
             ),
         )
-        rows = F.when(F.col("open"), F.concat(done.cast(node), below.cast(node))).otherwise(done.cast(node))
-        return df.select(*doc_id, F.inline(rows))
 
     roots = F.transform(
         F.try_variant_get(j.parse(body), "$", "array<variant>"),
@@ -292,10 +288,9 @@ def tree_nodes(docs: DataFrame, doc_id: list[str], body: str, max_depth: int = M
             F.lit(0).alias("level"),
             F.array(F.try_variant_get(x, "$.name", "string")).alias("names"),
             F.array(i).alias("pos"),
-            F.lit(True).alias("open"),
         ),
     )
-    flat = _until_done(spread(docs).select(*doc_id, F.inline(roots)), step, F.col("open"), max_depth)
+    flat = spread(docs).select(*doc_id, F.inline(_grown(roots, _brackets(body), node, kids, lambda n: F.lit(True))))
     v = F.col("node")
     rows = flat.select(
         *doc_id,
