@@ -264,6 +264,62 @@ def split_to_areas(saturated: DataFrame, areas: DataFrame, run_type: str) -> Dat
     return area_partitions(joined, run_type, F.col("_parent"), F.col("_depth") + 1)
 
 
+def window_partitions(halves: DataFrame, run_type: str, per_page: int = LIST_PAGE_SIZE) -> DataFrame:
+    """Partition plan rows for time windows of an area, with the parameters as JSON.
+
+    ``halves``: parent_partition_id, depth, area, area_name, path_text, window_from, window_to (seconds, half-open).
+    """
+    area = F.trim("area")
+    key = window_scope_key(F.col("area"), F.col("window_from"), F.col("window_to"))
+    start, end = window_text(F.col("window_from")), window_text(F.col("window_to"))
+    scope = F.struct(
+        F.lit("time_window").alias("dimension"), key.alias("scope_key"), area.alias("hh_area_id"), "area_name", "path_text",
+        F.col("depth").cast("int").alias("depth"), start.alias("date_from"), end.alias("date_to"),
+    )
+    params = F.struct(
+        area.alias("area"), start.alias("date_from"), end.alias("date_to"), F.lit(0).alias("page"), F.lit(per_page).alias("per_page")
+    )
+    body = F.struct(
+        F.lit(POLICY).alias("planner_policy"), F.lit(POLICY_VERSION).alias("planner_policy_version"),
+        scope.alias("scope"), params.alias("params"), F.lit(run_type).alias("run_type"),
+    )
+    return halves.select(
+        "parent_partition_id",
+        key.alias("partition_key"),
+        key.alias("scope_key"),
+        F.col("depth").cast("int").alias("depth"),
+        F.lit("time_window").alias("split_dimension"),
+        F.concat_ws("|", start, end).alias("split_value"),
+        F.to_json(body, {"ignoreNullFields": "false"}).alias("params_json"),
+    )
+
+
+def split_saturated(saturated: DataFrame, areas: DataFrame, run_type: str, run_started: Column) -> tuple[DataFrame, DataFrame]:
+    """(plan rows of children, unresolved parents with a message) for saturated partitions.
+
+    ``saturated``: id, depth, split_dimension, area, area_name, path_text, window_from, window_to. An area is split to its
+    active children. An area without any, and a time window, is split into two halves of its window, which is by
+    default that from the fallback start to the start of the run. A window too short to halve is unresolved, and so
+    is a partition without an area or of another dimension.
+    """
+    from sightline.operators.hierarchy import active_children
+
+    known = F.coalesce(F.col("split_dimension").isin("area", "time_window"), F.lit(False)) & F.col("area").isNotNull()
+    able = saturated.filter(known)
+    by_area = split_to_areas(able.filter("split_dimension = 'area'"), areas, run_type)
+    parents = active_children(areas).select(F.col("parent_hh_area_id").alias("area")).distinct()
+    leaves = able.filter("split_dimension = 'area'").join(parents, "area", "left_anti").select(*saturated.columns)
+    windows = with_default_window(leaves.unionByName(able.filter("split_dimension = 'time_window'")), run_started)
+    halves = bisected(windows).withColumns({"parent_partition_id": F.col("id"), "depth": F.col("depth") + 1})
+    by_window = window_partitions(halves.filter("not unresolved"), run_type)
+    span = F.concat_ws("..", window_text(F.col("window_from")), window_text(F.col("window_to")))
+    short = halves.filter("unresolved").select(
+        "parent_partition_id", F.concat(F.lit("window cannot be halved; area="), "area", F.lit(" interval="), span).alias("message")
+    )
+    unknown = saturated.filter(~known).select(F.col("id").alias("parent_partition_id"), F.lit("partition cannot be split").alias("message"))
+    return by_area.unionByName(by_window), short.unionByName(unknown)
+
+
 def bisected(windows: DataFrame, start: str = "window_from", end: str = "window_to") -> DataFrame:
     """Two half-open halves per window (whole seconds); too short a window is unresolved."""
     a, b = F.col(start), F.col(end)

@@ -260,6 +260,80 @@ def bisect(spark, d):
     return cov.bisected(windows(spark, d)).select("id", "unresolved", "window_from", "window_to")
 
 
+SPLIT_RUN = "2024-01-30 12:00:00"
+
+_STAMP = "strftime(make_timestamp({} * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00'"
+_SHORT = "strftime(make_timestamp({} * 1000000), '%Y%m%dT%H%M%SZ')"
+
+SATURATED = f"""
+{AREAS}, numbered as (select *, cast(substr(id, 2) as bigint) as n from areas),
+saturated as (
+  select id, level as depth, name as area_name, path_text,
+         case when level = 2 and n % 11 = 0 then 'role' when level = 2 and n % 3 = 0 then 'time_window' else 'area' end as split_dimension,
+         case when level = 2 and n % 13 = 0 then null else hh_area_id end as area,
+         case when level = 2 and n % 3 = 0 then 1700000000 + n * 1000 end as a,
+         case when level = 2 and n % 3 = 0 then 1700000000 + n * 1000 + n % 7 end as b
+  from numbered),
+able as (select * from saturated where split_dimension in ('area', 'time_window') and area is not null),
+kids as (select p.hh_area_id as parent, k.* from areas k join areas p on k.parent_area_id = p.id where k.is_active),
+windows as (
+  select * exclude (a, b), coalesce(a, {cov.FALLBACK_WINDOW_START}) as a, coalesce(b, cast(epoch(timestamp '{SPLIT_RUN}') as bigint)) as b from able
+  where split_dimension = 'time_window' or not exists (select 1 from kids where kids.parent = able.area)),
+halves as (
+  select *, a as f, a + (b - a) // 2 as t from windows where b - a >= 2
+  union all select *, a + (b - a) // 2, b from windows where b - a >= 2),
+named as (select *, 'time_window:' || area || ':' || {_SHORT.format("f")} || ':' || {_SHORT.format("t")} as key,
+                 {_STAMP.format("f")} as df, {_STAMP.format("t")} as dt from halves)
+"""
+
+
+def saturated(spark, d):
+    a = areas(spark, d).withColumn("n", F.substring("id", 2, 20).cast("long"))
+    third = (F.col("level") == 2) & (F.col("n") % 3 == 0)
+    start = F.lit(1700000000) + F.col("n") * 1000
+    return a.select(
+        "id", F.col("level").alias("depth"), F.col("name").alias("area_name"), "path_text",
+        F.when((F.col("level") == 2) & (F.col("n") % 11 == 0), "role").when(third, "time_window").otherwise("area").alias("split_dimension"),
+        F.when((F.col("level") != 2) | (F.col("n") % 13 != 0), F.col("hh_area_id")).alias("area"),
+        F.when(third, start).alias("window_from"), F.when(third, start + F.col("n") % 7).alias("window_to"),
+    )
+
+
+def split_plan(spark, d):
+    return cov.split_saturated(saturated(spark, d), areas(spark, d), "weekly_sweep", as_of(SPLIT_RUN))
+
+
+@query(
+    "C5_split_saturated",
+    f"""with {SATURATED}
+select p.id as parent_partition_id, 'area:' || k.hh_area_id as partition_key, cast(p.depth + 1 as int) as depth,
+       'area' as split_dimension, k.hh_area_id as split_value,
+       cast(to_json({{'planner_policy': '{cov.POLICY}', 'planner_policy_version': '{cov.POLICY_VERSION}',
+         'scope': {{'dimension': 'area', 'scope_key': 'area:' || k.hh_area_id, 'hh_area_id': k.hh_area_id, 'area_name': k.name, 'path_text': k.path_text, 'depth': p.depth + 1}},
+         'params': {{'area': k.hh_area_id, 'page': 0, 'per_page': {cov.LIST_PAGE_SIZE}}}, 'run_type': 'weekly_sweep'}}) as varchar) as params_json
+from able p join kids k on k.parent = p.area where p.split_dimension = 'area'
+union all
+select id, key, cast(depth + 1 as int), 'time_window', df || '|' || dt,
+       cast(to_json({{'planner_policy': '{cov.POLICY}', 'planner_policy_version': '{cov.POLICY_VERSION}',
+         'scope': {{'dimension': 'time_window', 'scope_key': key, 'hh_area_id': area, 'area_name': area_name, 'path_text': path_text, 'depth': depth + 1, 'date_from': df, 'date_to': dt}},
+         'params': {{'area': area, 'date_from': df, 'date_to': dt, 'page': 0, 'per_page': {cov.LIST_PAGE_SIZE}}}, 'run_type': 'weekly_sweep'}}) as varchar)
+from named""",
+)
+def split_children(spark, d):
+    return split_plan(spark, d)[0].drop("scope_key")
+
+
+@query(
+    "C5_split_unresolved",
+    f"""with {SATURATED}
+select id as parent_partition_id, 'window cannot be halved; area=' || area || ' interval=' || {_STAMP.format("a")} || '..' || {_STAMP.format("b")} as message
+from windows where b - a < 2
+union all select id, 'partition cannot be split' from saturated where split_dimension = 'role' or area is null""",
+)
+def split_unresolved(spark, d):
+    return split_plan(spark, d)[1]
+
+
 @query(
     "C6_scope_keys",
     """select o_orderkey as id, 'area:' || o_custkey as area_key, 'time_window:' || o_custkey || ':' ||
