@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.latest import latest_per_key
-from sightline.operators.segments import with_lag, with_running
+from sightline.operators.segments import with_lag, with_ordered, with_running
 
 FETCH_CLOSED = ("succeeded", "terminal_404")
 INACTIVE_AFTER_MISSING_RUNS = 2
@@ -148,10 +148,21 @@ def snapshot_reason(previous: Column, current: Column) -> Column:
     return F.when(previous.isNull(), "first_seen").when(~previous.eqNullSafe(current), "short_hash_changed")
 
 
-def due_short_snapshots(observed: DataFrame, state_before: DataFrame, key: str = "vacancy_id") -> DataFrame:
-    """Sightings of a page that need a snapshot, judged by the state before the page."""
+def due_short_snapshots(
+    observed: DataFrame, state_before: DataFrame, key: str = "vacancy_id", arrival: list[str] | None = None
+) -> DataFrame:
+    """Sightings that need a snapshot: each is judged by the sighting of its key before it.
+
+    ``arrival`` orders the sightings of one batch, and only the first of a key is judged by ``state_before``. Without it
+    every sighting is, as on a page that shows an item once.
+    """
     before = state_before.select(key, F.col("last_short_hash").alias("_before"))
-    joined = observed.join(before, key, "left")
+    if arrival:
+        lagged = with_ordered(observed, [key], arrival, {"_earlier": "short_hash"}, {"_nth": ("rows", F.lit(1))})
+        joined = lagged.join(before, key, "left").withColumn("_before", F.when(F.col("_nth") > 1, F.col("_earlier")).otherwise(F.col("_before")))
+        joined = joined.drop("_earlier", "_nth")
+    else:
+        joined = observed.join(before, key, "left")
     reason = snapshot_reason(F.col("_before"), F.col("short_hash"))
     return joined.withColumn("change_reason", reason).filter("change_reason is not null").drop("_before")
 

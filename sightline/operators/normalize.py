@@ -9,12 +9,26 @@ from sightline.functions import json_ops as j
 from sightline.session import spread
 
 
+def page_error(page: Column) -> Column:
+    """Why a parsed search page cannot be used, null if it can: no object, no list of items, counters that are no whole numbers."""
+    wrong = [F.when(~F.coalesce(j.kind(page, f"$.{name}"), F.lit("VOID")).isin("BIGINT", "VOID"), f"page.{name} must be an integer") for name in ("page", "per_page", "pages", "found")]
+    return F.when(page.isNull() | ~F.coalesce(j.is_object(page), F.lit(False)), "page must be an object").otherwise(
+        F.coalesce(F.when(~F.coalesce(j.is_array(page, "$.items"), F.lit(False)), "page.items must be a list"), *wrong)
+    )
+
+
+def bad_pages(pages: DataFrame, body: str = "payload_json") -> DataFrame:
+    """The pages that give no items at all because they are damaged, with ``_error``."""
+    parsed = pages.withColumn("_page", j.parse(body))
+    return parsed.withColumn("_error", page_error(F.col("_page"))).filter("_error is not null").drop("_page")
+
+
 def page_items(pages: DataFrame, body: str = "payload_json") -> DataFrame:
-    """One row per item of a search page, with its position over all pages."""
+    """One row per item of a search page, with its position over all pages; damaged pages are left to ``bad_pages``."""
     v = F.col("_page")
     items = F.try_variant_get(v, "$.items", "array<variant>")
     page = F.coalesce(j.optional_int(v, "$.page"), F.lit(0))
-    parsed = spread(pages).withColumn("_page", j.parse(body)).withColumn("_items", items)
+    parsed = spread(pages).withColumn("_page", j.parse(body)).filter(page_error(v).isNull()).withColumn("_items", items)
     per_page = F.coalesce(F.nullif(j.optional_int(v, "$.per_page"), F.lit(0)), F.size("_items"))
     return (
         parsed.withColumn("_base", page * F.greatest(per_page, F.lit(1)))
