@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -77,7 +78,7 @@ class SuffixAutomaton:
                 self.found[state] = (window, frozenset(owners[state]))
         n = max(1, len(self.vocabulary))
         codes = {a * n + b for _, ids in sequences for a, b in zip(ids, ids[1:])}
-        self.pair_codes = np.array(sorted(codes), np.int64)
+        self.pair_codes = np.array([*sorted(codes), n * n], np.int64)
 
     def _extend(self, last: int, c: int) -> int:
         if c in self.next[last]:
@@ -111,14 +112,14 @@ class SuffixAutomaton:
         items: set[str] = set()
         if not self.least or not words:
             return np.zeros((0, 2), np.int64), items
-        get = self.vocabulary.get
-        ids = np.array([get(w, -1) for w in words], np.int64)
+        ids = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))
         known = ids >= 0
         joined = known[1:] & known[:-1]
         at = np.flatnonzero(joined)
         if len(at):
             code = ids[at] * len(self.vocabulary) + ids[at + 1]
-            joined[at] = np.isin(code, self.pair_codes)
+            where = np.searchsorted(self.pair_codes, code)  # the last code is larger than any pair
+            joined[at] = self.pair_codes[where] == code
         heads = np.flatnonzero(known & np.r_[True, ~joined])
         ends = np.flatnonzero(known & np.r_[~joined, True]) + 1
         long = ends - heads >= self.least
@@ -222,8 +223,9 @@ def benchmark_hits(
                 rows.append((n, _merged(np.array(spans, np.int64).reshape(-1, 2)), sorted({*i, *k})))
             return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
 
-        hits = scan(F.col(text_col))
-        out = out.withColumn(held, hits if not blocks else merge(F.col(held), hits))
+        # Not to be run again where a filter on the hits is pushed down.
+        hits = scan.asNondeterministic()(F.col(text_col))
+        out = out.withColumn(held, hits if not blocks else merge.asNondeterministic()(F.col(held), hits))
         blocks += 1
     return out.drop(output).withColumnRenamed(held, output)
 
