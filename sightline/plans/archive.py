@@ -249,6 +249,22 @@ def a5(spark, d):
     return ar.read_inventory(spark, exported(spark, d)).select("dataset_key", "partition", "row_count", "source_min_id", "source_max_id", "format", "compression")
 
 
+@query(
+    "A5_inventory_totals",
+    f"""with {READY} select 'silver/vacancy_seen_event' as dataset_key,
+'p_event_type=' || event_type || '/' || strftime(ts, 'year=%Y/month=%m/day=%d') as partition,
+count(*) as row_count, min(id) as source_min_id, max(id) as source_max_id, 'jsonl' as format, 'gzip' as compression, true as files_named
+from ready group by all""",
+)
+def a5_totals(spark, d):
+    """The inventory without what depends on the number of files."""
+    inv = ar.read_inventory(spark, exported(spark, d))
+    return inv.groupBy("dataset_key", "partition", "format", "compression").agg(
+        F.sum("row_count").alias("row_count"), F.min("source_min_id").alias("source_min_id"), F.max("source_max_id").alias("source_max_id"),
+        F.bool_and(F.col("export_id").isNotNull() & (F.col("row_count") > 0)).alias("files_named"),
+    )
+
+
 STEPS = f"""
 {ROWS}, cut as (select (select min(id) from rows_ where ts > timestamp '2024-01-12') - 1 as a,
                        (select min(id) from rows_ where ts > timestamp '2024-01-25') - 1 as b)
