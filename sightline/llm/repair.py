@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the wo
 
 END = 1
 BLOCK_TOKENS = 1 << 18
-ROUNDS = 5
+ROUNDS = 3
 SLOT_BITS = 18
 LEAST = 4  # a pair is worth a rule if it is replaced so often in the block
 RULES = 4096  # pairs named in one round
@@ -133,6 +135,12 @@ def decoder(rules: np.ndarray, first: int, lengths: np.ndarray):
 # ---------------------------------------------------------------- ids
 
 
+def _kind(code: int) -> str:
+    char = chr(code)
+    return "." if char in ".," else " " if char.isspace() else "a" if unicodedata.category(char)[0] in "LN" else "!"
+
+
+_KINDS = "".join(map(_kind, range(256))).encode()  # of the Latin-1 characters: full stop or comma, space, letter or number, other
 # Python's split() also takes four control characters for white space, the library does not.
 _ODD = re.compile("[\x1c-\x1f]").search
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -172,13 +180,32 @@ class WordCodec:
             cuts = (4 * np.searchsorted(owner, np.arange(len(part) + 1))).tolist()
             self.known.update(zip(part, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
 
+    def _split(self, text: str) -> list[str]:
+        """Words whose ids, one after the other, are those of the text.
+
+        Case is dropped and full stops and commas are set apart where that surely changes nothing, since fewer
+        different words have to be remembered then.
+        """
+        if _ODD(text):
+            return _SPACE.split(text)
+        try:
+            kinds = text.encode("latin-1").translate(_KINDS)
+        except UnicodeEncodeError:
+            return text.split()
+        text = text.lower()
+        # Next to another mark, a full stop or comma is part of a longer piece.
+        if b".." in kinds or b"!." in kinds or b".!" in kinds:
+            return text.split()
+        return text.replace(".", " . ").replace(",", " , ").split()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [(_SPACE.split(t) if _ODD(t) else t.split()) if t else [] for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+        split = [self._split(t) if t else [] for t in texts]
+        if len(self.known) > CACHED_WORDS:  # the words learned first are mostly the frequent ones
+            self.known = dict(islice(self.known.items(), CACHED_WORDS // 2))
         known = self.known
-        new = {w for words in split for w in words if w not in known}
+        found = [list(map(known.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found) if None in ids for w, x in zip(words, ids) if x is None}
         bases, parts, rest = set(), [], []
         for word in new:
             base, mark = (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".," else (word, "")
@@ -193,7 +220,7 @@ class WordCodec:
         for word, base, mark in parts:
             known[word] = known[base] + self.marks[mark]
         self._learn(rest)
-        return [b"".join([known[w] for w in words]) for words in split]
+        return [b"".join([known[w] if x is None else x for w, x in zip(words, ids)] if None in ids else ids) for words, ids in zip(split, found)]
 
 
 @lru_cache(2)
@@ -201,7 +228,7 @@ def word_codec(path: str) -> WordCodec:
     return WordCodec(path)
 
 
-FILE = "shard int, block int, doc_ids binary, null_ids binary, n_tokens binary, offsets binary, sequence binary, rules binary, lengths binary, first long"
+FILE = "shard int, block int, before long, doc_ids binary, null_ids binary, n_tokens binary, offsets binary, sequence binary, rules binary, lengths binary, first long"
 
 
 def write_token_files(df: DataFrame, tokenizer_path: str, folder: str, id_col: str = "doc_id", text_col: str = "text", end: int = END, block_tokens: int = BLOCK_TOKENS) -> None:
@@ -218,7 +245,7 @@ def write_token_files(df: DataFrame, tokenizer_path: str, folder: str, id_col: s
         closing = np.array([end], "<u4").tobytes()
         docs: list = []
         ids: list[bytes] = []
-        size, block, shard = 0, 0, 0
+        size, block, shard, before = 0, 0, 0, 0
 
         def flush() -> pa.RecordBatch:
             flat = np.frombuffer(b"".join(ids), "<u4")
@@ -229,10 +256,10 @@ def write_token_files(df: DataFrame, tokenizer_path: str, folder: str, id_col: s
             step = np.where(seq >= first, grown[np.maximum(seq.astype(np.int64) - first, 0)] if len(rules) else 1, 1)
             offsets = np.searchsorted(np.cumsum(step) - step, np.cumsum(lengths) - lengths)
             packed = [
-                [shard], [block], [np.array([d or 0 for d in docs], np.int64).tobytes()], [np.array([d is None for d in docs]).tobytes()],
+                [shard], [block], [before], [np.array([d or 0 for d in docs], np.int64).tobytes()], [np.array([d is None for d in docs]).tobytes()],
                 [lengths.tobytes()], [offsets.astype(np.int64).tobytes()], [_pack(seq)], [_pack(rules.ravel())], [grown.astype(np.uint32).tobytes()], [first],
             ]
-            kinds = [pa.int32()] * 2 + [pa.binary()] * 7 + [pa.int64()]
+            kinds = [pa.int32()] * 2 + [pa.int64()] + [pa.binary()] * 7 + [pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(p, k) for p, k in zip(packed, kinds)], [f.split()[0] for f in FILE.split(", ")])
 
         for batch in batches:
@@ -244,12 +271,12 @@ def write_token_files(df: DataFrame, tokenizer_path: str, folder: str, id_col: s
                 size += len(raw) // 4 + 1
                 if size >= block_tokens:
                     yield flush()
-                    docs, ids, size, block = [], [], 0, block + 1
+                    docs, ids, size, block, before = [], [], 0, block + 1, before + size
         if docs:
             yield flush()
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    ranged = rows.repartitionByRange("id", "text").sortWithinPartitions("id", "text").withColumn("shard", F.spark_partition_id())
+    ranged = rows.repartitionByRange("id").sortWithinPartitions("id", "text").withColumn("shard", F.spark_partition_id())
     ranged.mapInArrow(write, FILE).write.parquet(folder)
 
 
@@ -266,7 +293,7 @@ def _unpack(raw: bytes) -> np.ndarray:
 def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
     """(``id_col``, start, n_tokens, tokens) of every document in the files; tokens are little-endian 32-bit ids.
 
-    start counts the ids of all documents before it: sizes are summed per shard, and shards in order.
+    start counts the ids of all documents before it: a block knows those of its shard, and shards are summed up in order.
     """
     blocks = spark.read.schema(FILE).parquet(folder)
 
@@ -285,20 +312,17 @@ def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id") -
                     ends = (4 * np.cumsum(sizes[at:to])).tolist()
                     parts = [raw[a:b] for a, b in zip([0, *ends], ends)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(to - at, row["shard"], np.int32)), pa.array(np.full(to - at, row["block"], np.int32)), pa.array(names[at:to], mask=null[at:to]),
-                         pa.array(begin[at:to]), pa.array(sizes[at:to]), pa.array(parts, pa.binary())],
-                        ["shard", "block", "id", "inside", "n_tokens", "tokens"])
+                        [pa.array(np.full(to - at, row["shard"], np.int32)), pa.array(names[at:to], mask=null[at:to]), pa.array(row["before"] + begin[at:to]), pa.array(sizes[at:to]), pa.array(parts, pa.binary())],
+                        ["shard", "id", "inside", "n_tokens", "tokens"])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = [int(np.frombuffer(x, np.int64).sum()) for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sums, pa.int64())], ["shard", "block", "n"])
+            sums = [int(np.frombuffer(x, np.int64).sum()) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.int64())], ["shard", "n"])
 
-    sizes = blocks.select("shard", "block", "n_tokens").mapInArrow(total, "shard int, block int, n long")
-    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    within = sizes.select("shard", "block", earlier.alias("before"))
-    whole = sizes.groupBy("shard").agg(F.sum("n").alias("n"))
+    # One number for each shard, so as many as the writing tasks: safe to sum up in order and to broadcast.
+    whole = blocks.select("shard", "n_tokens").mapInArrow(total, "shard int, n long").groupBy("shard").agg(F.sum("n").alias("n"))
     ahead = F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = within.join(whole.select("shard", ahead.alias("ahead")), "shard").select("shard", "block", (F.col("before") + F.col("ahead")).alias("start"))
-    docs = blocks.mapInArrow(decode, "shard int, block int, id long, inside long, n_tokens long, tokens binary")
-    return docs.join(starts, ["shard", "block"]).select(F.col("id").alias(id_col), (F.col("start") + F.col("inside")).alias("start"), "n_tokens", "tokens")
+    starts = F.broadcast(whole.select("shard", ahead.alias("start")))
+    docs = blocks.mapInArrow(decode, "shard int, id long, inside long, n_tokens long, tokens binary")
+    return docs.join(starts, "shard").select(F.col("id").alias(id_col), (F.col("start") + F.col("inside")).alias("start"), "n_tokens", "tokens")
