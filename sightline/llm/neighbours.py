@@ -25,19 +25,26 @@ TRAIN_DOCUMENTS = 12_000  # labelled documents that are examples, at most
 MOST_TERMS = 5_000
 SURPRISE = 5.0  # standard deviations by which a term exceeds its expected count in label 1
 BEGINNING = 4  # letters of a word beginning
-BLOCK = 32
+BLOCK = 256
+CALIBRATED = 2_000  # examples that votes are calibrated on, at most
+REMEMBERED = 100_000  # judgements a worker keeps: many texts hold the same few terms
 NEIGHBOURS = 31
 SHARPNESS = 4  # power of the cosine in a vote
 LEAST_HELD = 4  # examples that hold a term, at least
 _RUNS = re.compile(r"[^\W\d_]+").findall
 
 
-def terms_of(text: str | None) -> Iterator[str]:
-    """Lower-cased words, and the beginnings of longer ones."""
-    for word in _RUNS(text.lower()) if text else ():
-        yield word
+def terms_of(text: str | None, known: frozenset[str] | None = None) -> Counter:
+    """How often each lower-cased word, and each beginning of longer ones, occurs; only the ``known`` if given."""
+    counts: Counter = Counter()
+    for word, n in Counter(_RUNS(text.lower())).items() if text else ():
+        if known is None or word in known:
+            counts[word] += n
         if len(word) > BEGINNING:
-            yield word[:BEGINNING] + "*"
+            begin = word[:BEGINNING] + "*"
+            if known is None or begin in known:
+                counts[begin] += n
+    return counts
 
 
 class BlockMaxIndex:
@@ -71,18 +78,23 @@ class BlockMaxIndex:
         for term, weight in query.items():
             where, largest = self.most[term]
             bound[where] += weight * largest
-        best: list[tuple[float, int]] = []
+        scores, who = np.zeros(0), np.zeros(0, np.int64)
         for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1][0] - 1e-9):
+            least = scores[-1] if len(scores) == k else 0.0
+            if bound[b] <= 0 or bound[b] < least - 1e-9:
                 break
             score = np.zeros(self.block)
             for term, weight in query.items():
-                if term in self.blocks[b]:
-                    who, weights = self.blocks[b][term]
-                    score[who] += weight * weights
-            found = [(round(float(score[j]), 12), b * self.block + j) for j in np.flatnonzero(score > 0).tolist()]
-            best = sorted(best + [f for f in found if f[1] != without], key=lambda f: (-f[0], f[1]))[:k]
-        return best
+                held = self.blocks[b].get(term)
+                if held:
+                    score[held[0]] += weight * held[1]
+            score = np.round(score, 12)
+            found = np.flatnonzero((score > 0) & (score >= least))
+            found = found[found + b * self.block != without]
+            scores, who = np.concatenate([scores, score[found]]), np.concatenate([who, found + b * self.block])
+            first = np.lexsort((who, -scores))[:k]
+            scores, who = scores[first], who[first]
+        return list(zip(scores.tolist(), who.tolist()))
 
 
 def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,8 +127,10 @@ class Model:
         self.ids, self.labels = [ids[k] for k in keep], labels[keep]
         self.index = BlockMaxIndex([examples[k] for k in keep])
         self.terms = frozenset(self.index.idf)
+        self.judged: dict[tuple, tuple[float, list[dict]]] = {}
         votes, truth = [], []
-        for n, k in enumerate(keep):
+        step = max(1, -(-len(keep) // CALIBRATED))
+        for n, k in list(enumerate(keep))[::step]:
             found = self.index.nearest(examples[k], without=n)
             if found:
                 votes.append(self.vote(found))
@@ -129,11 +143,18 @@ class Model:
 
     def judge(self, text: str | None) -> tuple[float, list[dict]]:
         """(score, evidence) of a text: nearest examples with their cosine and label."""
-        terms = self.terms
-        counts = Counter(t for t in terms_of(text) if t in terms)
-        found = self.index.nearest(counts) if counts else []
-        if not found:
+        counts = terms_of(text, self.terms)
+        if not counts:
             return self.prior, []
+        key = tuple(sorted(counts.items()))
+        if key not in self.judged:
+            if len(self.judged) >= REMEMBERED:
+                self.judged.clear()
+            self.judged[key] = self._judge(counts)
+        return self.judged[key]
+
+    def _judge(self, counts: dict[str, int]) -> tuple[float, list[dict]]:
+        found = self.index.nearest(counts)
         step = int(np.searchsorted(self.steps, self.vote(found), "right")) - 1
         return float(self.chance[max(0, step)]), [{"id": self.ids[k], "cosine": s, "label": int(self.labels[k])} for s, k in found[:3]]
 
@@ -154,7 +175,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         for batch in batches:
             held, ones = Counter(), Counter()
             for text, y in zip(batch["text"], batch["y"]):
-                own = set(terms_of(text))
+                own = terms_of(text).keys()
                 held.update(own)
                 if y > 0.5:
                     ones.update(own)
@@ -167,7 +188,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts = [Counter(t for t in terms_of(x) if t in known) for x in batch["text"]]
+            counts = [terms_of(x, known) for x in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "y": batch["y"], "terms": [list(c) for c in counts], "counts": [list(c.values()) for c in counts]})
 
     rows = chosen.mapInPandas(vectors, "id long, y double, terms array<string>, counts array<long>").orderBy("id").collect()
