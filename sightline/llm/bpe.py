@@ -21,7 +21,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from sightline.llm.common import ready
 
@@ -108,13 +108,34 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text_col: str = "te
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
+        own = codec(path, pattern, leaf)
+        return _lists([own.encode(t) for t in texts.to_pylist()])
+
+    # Not to be run a second time inside what is computed from the ids.
+    return df.withColumn(output, encode.asNondeterministic()(F.col(text_col)))
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(parts) + 1, np.int32)
+    np.cumsum([len(p) for p in parts], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
+
+
+def encode_and_decode(df: DataFrame, path: str, pattern: str, text_col: str = "text", output: str = "coded", leaf: int = LEAF) -> DataFrame:
+    """``df`` with a struct ``output``: token_ids of each text, and decoded, the bytes that these ids give, in one pass.
+
+    The same as ``encode_documents`` followed by ``decode_documents``, without sending the ids to and fro.
+    """
+    ready(df.sparkSession)
+
+    @F.arrow_udf(StructType([StructField("token_ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())]))
+    def both(texts: pa.Array) -> pa.Array:
         own = codec(path, pattern, leaf)
         parts = [own.encode(t) for t in texts.to_pylist()]
-        offsets = np.zeros(len(parts) + 1, np.int32)
-        np.cumsum([len(p) for p in parts], out=offsets[1:])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
+        back = pa.array([own.decode(p.tolist()) for p in parts], pa.binary())
+        return pa.StructArray.from_arrays([_lists(parts), back], ["token_ids", "decoded"])
 
-    return df.withColumn(output, encode(F.col(text_col)))
+    return df.withColumn(output, both.asNondeterministic()(F.col(text_col)))
 
 
 def decode_documents(df: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", output: str = "decoded", leaf: int = LEAF) -> DataFrame:

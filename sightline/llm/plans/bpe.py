@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm.bpe import decode_documents, encode_documents
+from sightline.llm.bpe import encode_and_decode
 from sightline.llm.common import table
 from sightline.llm.registry import query
 
@@ -17,7 +17,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode_documents(encode_documents(documents, *vocabulary), *vocabulary)
+    coded = encode_and_decode(documents, *vocabulary).select("doc_id", "coded.*")
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

@@ -188,8 +188,8 @@ def simhash_links(prints: DataFrame, bits: int = 3) -> DataFrame:
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False)
-            for at in range(0, len(values), 2000):
-                part = values[at : at + 2000]
+            for at in range(0, len(values), 250):
+                part = values[at : at + 250]
                 key, pos, first = golay_keys(part)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[pos]), pa.array(first)], ["key", "fp", "first"])
 

@@ -207,6 +207,8 @@ def test_bpe_there_and_back(docs, messy, nothing):
     coded = bpe.decode_documents(bpe.encode_documents(docs, *RANKS), *RANKS)
     want = sorted(((i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in messy), key=repr)
     assert sorted(((r["doc_id"], list(r["token_ids"]), bytes(r["decoded"])) for r in coded.collect()), key=repr) == want
+    at_once = bpe.encode_and_decode(docs, *RANKS).select("doc_id", "coded.*")
+    assert sorted(((r["doc_id"], list(r["token_ids"]), bytes(r["decoded"])) for r in at_once.collect()), key=repr) == want
     assert bpe.decode_documents(bpe.encode_documents(nothing, *RANKS), *RANKS).count() == 0
 
 
