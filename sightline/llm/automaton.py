@@ -190,22 +190,25 @@ def benchmark_hits(
     window: int = 10,
     block_bytes: int = ITEM_BYTES,
     output: str = "hits",
+    rest: bool = False,
 ) -> DataFrame:
     """``df`` with a struct ``output``: n_words, spans (merged runs of hit words) and items (ids as text, sorted).
 
     A null or wordless text has no words, spans or items. Items that are null or wordless own no window, an empty
     benchmark hits nothing. A column of ``df`` named like ``output`` is replaced, all others are kept. Items are
     indexed in blocks of bounded size; each block is sent to the executors and all texts are streamed through
-    it, so a benchmark of any size works, at one pass over the texts for each block.
+    it, so a benchmark of any size works, at one pass over the texts for each block. With ``rest`` the struct also has
+    rest, the text without its hit spans.
     """
     spark = ready(df.sparkSession)
     held = "_hits_so_far"
+    kind = StructType([*RESULT.fields, StructField("rest", StringType())]) if rest else RESULT
     out = df
     blocks = 0
     for block in item_blocks(benchmark, item_col, item_text_col, block_bytes):
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
 
-        @F.pandas_udf(RESULT)
+        @F.pandas_udf(kind)
         def scan(texts: pd.Series) -> pd.DataFrame:
             automaton = shared.value
             rows = []
@@ -213,19 +216,19 @@ def benchmark_hits(
                 words = words_of(text)
                 spans, items = automaton.matches(words)
                 rows.append((len(words), _merged(spans), sorted(items)))
-            return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
+            return _frame(rows, texts, rest)
 
-        @F.pandas_udf(RESULT)
-        def merge(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        @F.pandas_udf(kind)
+        def merge(texts: pd.Series, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             rows = []
             for n, a, b, i, k in zip(left["n_words"], left["spans"], right["spans"], left["items"], right["items"]):
                 spans = [(s["start"], s["end"]) for s in (*a, *b)]
                 rows.append((n, _merged(np.array(spans, np.int64).reshape(-1, 2)), sorted({*i, *k})))
-            return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
+            return _frame(rows, texts, rest)
 
         # Not to be run again where a filter on the hits is pushed down.
         hits = scan.asNondeterministic()(F.col(text_col))
-        out = out.withColumn(held, hits if not blocks else merge.asNondeterministic()(F.col(held), hits))
+        out = out.withColumn(held, hits if not blocks else merge.asNondeterministic()(F.col(text_col), F.col(held), hits))
         blocks += 1
     return out.drop(output).withColumnRenamed(held, output)
 
@@ -237,25 +240,29 @@ def hit_words(column: str = "hits") -> F.Column:
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-@F.pandas_udf(StringType())
-def _without(texts: pd.Series, hits: pd.DataFrame) -> pd.Series:
-    word = re.compile(_WORD)
-    out = []
-    for text, spans in zip(texts, hits["spans"]):
-        if text is None or not len(spans):
-            out.append(text)
-            continue
-        places = [m.span() for m in word.finditer(re.sub("[A-Z]", lambda m: m[0].lower(), text))]
-        kept, at = [], 0
-        for s in spans:
-            kept.append(text[at : places[s["start"]][0]])
-            at = places[s["end"] - 1][1]
-        kept.append(text[at:])
-        out.append("".join(kept))
-    return pd.Series(out, dtype=object)
+def _without(text: str | None, spans: list[dict]) -> str | None:
+    """The text without the words of its spans and what lies between them."""
+    if text is None or not spans:
+        return text
+    places = [m.span() for m in re.finditer(_WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text))]
+    kept, at = [], 0
+    for s in spans:
+        kept.append(text[at : places[s["start"]][0]])
+        at = places[s["end"] - 1][1]
+    return "".join([*kept, text[at:]])
+
+
+def _frame(rows: list[tuple], texts: pd.Series, rest: bool) -> pd.DataFrame:
+    found = pd.DataFrame(rows, columns=["n_words", "spans", "items"])
+    if rest:
+        found["rest"] = pd.Series([_without(t, spans) for t, (_, spans, _) in zip(texts, rows)], dtype=object)
+    return found
 
 
 def remove_hits(df: DataFrame, hits: str = "hits", text_col: str = "text", max_coverage: float = 0.5) -> DataFrame:
-    """Cut the hit spans out of the texts; documents with more than ``max_coverage`` of their words hit go."""
+    """Put the texts without their hit spans in place; documents with more than ``max_coverage`` of their words hit go.
+
+    ``hits`` comes from ``benchmark_hits`` with ``rest``.
+    """
     share = hit_words(hits) / F.greatest(F.col(f"{hits}.n_words"), F.lit(1))
-    return df.where(share <= max_coverage).withColumn(text_col, _without(F.col(text_col), F.col(hits)))
+    return df.where(share <= max_coverage).withColumn(text_col, F.col(f"{hits}.rest"))

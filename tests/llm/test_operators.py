@@ -252,7 +252,7 @@ def test_no_benchmark_hits_nothing(spark, docs, nothing):
 def test_removed_hits_leave_the_rest(spark):
     bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     df = spark.createDataFrame([(1, "Zero. ONE, two: three! four five six"), (2, "one two three"), (3, None)], "doc_id long, text string")
-    out = {r["doc_id"]: r["text"] for r in automaton.remove_hits(automaton.benchmark_hits(df, bench)).collect()}
+    out = {r["doc_id"]: r["text"] for r in automaton.remove_hits(automaton.benchmark_hits(df, bench, rest=True)).collect()}
     assert out == {1: "Zero. ! four five six", 3: None}
 
 
