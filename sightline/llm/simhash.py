@@ -36,32 +36,38 @@ GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, fixed value
 SMALL = 12  # groups up to this size are compared pair by pair, larger ones by spreading links
 
 
-def shingle_bits(text: str | None, words: int = 3) -> int:
-    """SimHash of a text: majority bits of XXH64 (seed 42) over word shingles, as a signed 64-bit value."""
+def shingle_digests(text: str | None, words: int) -> bytes:
+    """XXH64 (seed 42) of each word shingle, 8 bytes each; a text of fewer words is one shingle, one without words has none."""
     tokens = text.encode().lower().split() if text else []
     if not tokens:
-        return 0
+        return b""
     line = b" ".join(tokens)
     if len(tokens) <= words:
-        hashes = xxhash.xxh64_digest(line, 42)
-    else:
-        ends = list(accumulate(len(t) + 1 for t in tokens))
-        digest = xxhash.xxh64_digest
-        starts = [0, *ends]
-        hashes = b"".join([digest(line[a : b - 1], 42) for a, b in zip(starts, ends[words - 1 :])])
+        return xxhash.xxh64_digest(line, 42)
+    ends = list(accumulate(len(t) + 1 for t in tokens))
+    digest = xxhash.xxh64_digest
+    starts = [0, *ends]
+    return b"".join([digest(line[a : b - 1], 42) for a, b in zip(starts, ends[words - 1 :])])
+
+
+def shingle_bits(text: str | None, words: int = 3) -> int:
+    """SimHash of a text: majority bits of XXH64 (seed 42) over word shingles, as a signed 64-bit value."""
+    hashes = shingle_digests(text, words)
+    if not hashes:
+        return 0
     bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
     top = bits.sum(0, dtype=np.int64) * 2 > len(bits)
     return int(np.packbits(top).view(">i8")[0])
 
 
-@F.pandas_udf(LongType())
-def _fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([shingle_bits(t) for t in batch], dtype="int64")
+def fingerprints(df: DataFrame, text_col: str = "text", words: int = 3) -> DataFrame:
+    """``df`` with the signed 64-bit ``fingerprint`` of a text; null or wordless texts have 0."""
 
+    @F.pandas_udf(LongType())
+    def _fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([shingle_bits(t, words) for t in batch], dtype="int64")
 
-def fingerprints(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with the signed 64-bit ``fingerprint`` of a text; null or wordless texts have 0."""
     return df.withColumn("fingerprint", _fingerprint(F.col(text_col)))
 
 
@@ -234,15 +240,37 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return prints.join(component, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 3) -> DataFrame:
-    """The rows of ``df`` whose id names their component, one row for each such id, all columns kept.
+def keep_one(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 3, words: int = 3, similarity: float | None = None
+) -> DataFrame:
+    """One row of each component of near copies, all columns kept.
 
-    Ids name documents, so rows that repeat an id collapse to one. A row without id stays only if its component
-    has no id at all, and then one such row stays.
+    Without ``similarity``, texts link at ``bits`` or fewer differing bits of the fingerprint over ``words``-word shingles.
+    With it, they link if the Jaccard similarity of their sets of ``words``-word shingles is at least so large
+    (``resemblance.py``), and ``bits`` is not used.
+    The row of least id stays, an id before none, then the least hash of the text. Rows with the same id and text
+    collapse to one. Rows are told apart by a hash of id and text, so nothing depends on ids being unique or there.
     """
-    found = simhash_components(df, id_col, text_col, bits)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stays")).distinct()
-    return df.join(stay, df[id_col].eqNullSafe(stay["_stays"]), "left_semi").dropDuplicates([id_col])
+    from sightline.llm.resemblance import similar_links, with_sketch
+
+    ready(df.sparkSession)
+    row = F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
+    rows = df.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if similarity is None:
+        sketched = fingerprints(rows, words=words).select("row", "id", F.col("fingerprint").alias("node"))
+    else:
+        sketched = with_sketch(rows, words)
+    sketched = cut_lineage(sketched)
+    named_by = F.min(F.struct(F.col("id").isNull().alias("bare"), "id", "row")).alias("least")
+    nodes = sketched.groupBy("node").agg(named_by)
+    if similarity is None:
+        links = simhash_links(nodes.select(F.col("node").alias("fingerprint")), bits)
+    else:
+        links = similar_links(sketched, rows, words, similarity)
+    roots = connected_components(links)
+    named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stay = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("_row"))
+    return df.withColumn("_row", row).join(stay, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
 
 
 def hex_digits(column: str) -> F.Column:

@@ -127,6 +127,31 @@ def test_keep_one_keeps_the_least_of_each_group(docs):
     assert {4, 0, 12} <= kept and not kept & {1, 2, 5, 6, 21}
 
 
+def test_keep_one_links_five_word_shingles_at_four_fifths(spark):
+    rng = random.Random(7)
+    rows, pairs = [], {}
+    for k in range(40):
+        words = prose(1000 + k, 300).split()
+        copy = list(words)
+        for at in rng.sample(range(300), 1 + k % 14):
+            copy[at] = f"other{k}x{at}"
+        sets = [{tuple(t[a : a + 5]) for a in range(296)} for t in (words, copy)]
+        pairs[2 * k + 1] = len(sets[0] & sets[1]) / len(sets[0] | sets[1]) >= 0.8
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    assert 5 < sum(pairs.values()) < 35
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = {r["doc_id"] for r in simhash.keep_one(df, words=5, similarity=0.8).collect()}
+    assert kept == {i for i, _ in rows if not pairs.get(i)}
+
+
+def test_similar_links_of_a_dense_group_and_of_nothing(spark, nothing):
+    base = prose(77, 200).split()
+    texts = [" ".join([*base[:k], f"new{k}", *base[k + 1 :]]) for k in range(60)]
+    df = spark.createDataFrame([*enumerate(texts), (90, prose(78, 200)), (91, None), (92, " ")], "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.keep_one(df, words=5, similarity=0.8).collect()} == {0, 90, 91}
+    assert simhash.keep_one(nothing, words=5, similarity=0.8).count() == 0
+
+
 # ---------------------------------------------------------------- 3 suffix arrays
 
 
