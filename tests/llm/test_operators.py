@@ -152,6 +152,14 @@ def test_similar_links_of_a_dense_group_and_of_nothing(spark, nothing):
     assert simhash.keep_one(nothing, words=5, similarity=0.8).count() == 0
 
 
+@pytest.mark.parametrize("names", [{}, {"words": 5, "similarity": 0.8}])
+def test_keep_one_of_rows_without_id_and_of_repeated_ids(spark, names):
+    a, b, c, d = (prose(k) for k in range(300, 304))
+    rows = [(None, a), (None, b), (None, b), (None, c), (9, c), (4, d), (4, prose(304)), (4, d)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), **names).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted({(None, a), (None, b), (9, c), (4, d), (4, prose(304))}, key=repr)
+
+
 # ---------------------------------------------------------------- 3 suffix arrays
 
 

@@ -52,3 +52,14 @@ def test_pipeline_of_messy_and_empty_documents(spark, tmp_path):
         for name in ("labels", "benchmark"):
             os.symlink(f"{SMALL}/{name}.parquet", f"{folder}/{name}.parquet")
         corpus_pipeline.run(spark, folder).collect()
+
+
+def test_repeats_stage_gives_one_row_for_each_row(spark):
+    import corpus_pipeline
+
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    long = "some words that are repeated in more than one of the given documents"
+    rows = [(1, long, "en", "a", 0)] + [(2, long + " x", "en", "b", 0)] * 3 + [(2, "other", "de", "c", 0)] + [(None, long, None, "d", 0)] * 3 + [(None, None, "fr", None, 0)]
+    got = corpus_pipeline.repeats(spark, spark.createDataFrame(rows, kind), SMALL).collect()
+    cut = [(1, long, "en", "a")] + [(2, "x", "en", "b")] * 3 + [(2, "other", "de", "c")] + [(None, long, None, "d")] * 3 + [(None, "", "fr", None)]
+    assert sorted(((r["doc_id"], r["text"].strip(), r["lang"], r["source"]) for r in got), key=repr) == sorted(cut, key=repr)
