@@ -27,8 +27,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the wo
 
 END = 1
 BLOCK_TOKENS = 1 << 18
-ROUNDS = 3
-SLOT_BITS = 18
+SLOT_BITS = 20
 LEAST = 4  # a pair is worth a rule if it is replaced so often in the block
 RULES = 4096  # pairs named in one round
 CACHED_WORDS = 400_000
@@ -37,33 +36,29 @@ CACHED_WORDS = 400_000
 # ---------------------------------------------------------------- grammar
 
 
-def compress(ids: np.ndarray, end: int = END, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, int]:
+def compress(ids: np.ndarray, end: int = END) -> tuple[np.ndarray, np.ndarray, int]:
     """(sequence, rules, first nonterminal): rule k of the pairs in ``rules`` stands for symbol first + k.
 
     Each round names the most frequent pairs and replaces their occurrences, a pair that overlaps a more frequent
-    one giving way. Pairs with ``end`` are never named.
+    one giving way, until no pair occurs LEAST times. Pairs with ``end`` are never named.
     """
     first = int(ids.max()) + 1 if len(ids) else 0
     seq, rules, symbols = ids.astype(np.uint64), [], first
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         keys = seq[:-1] << np.uint64(32) | seq[1:]
-        inner = (seq[:-1] != end) & (seq[1:] != end)
-        # Pairs are counted in slots; a slot counts one of the pairs that fall into it, the others wait for a later round.
-        slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        owner = np.zeros(1 << SLOT_BITS, np.uint64)
-        owner[slot] = keys
-        inner &= owner[slot] == keys
-        counts = np.bincount(slot[inner], minlength=1 << SLOT_BITS)
+        inner = np.flatnonzero((seq[:-1] != end) & (seq[1:] != end))
+        # A slot counts all pairs that fall into it, so no frequent pair lies in a slot of few; the others are counted exactly.
+        slot = ((keys[inner] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        inner = inner[np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= LEAST]
+        pairs, which, counts = np.unique(keys[inner], return_inverse=True, return_counts=True)
         frequent = np.flatnonzero(counts >= LEAST)
         if not len(frequent):
             break
-        if len(frequent) > RULES:
-            frequent = np.sort(frequent[np.argsort(-counts[frequent], kind="stable")[:RULES]])
-        rank = np.zeros(1 << SLOT_BITS, np.int64)
-        rank[frequent] = counts[frequent] << SLOT_BITS | frequent
-        weight = np.where(inner, rank[slot], 0)
+        frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:RULES]]
+        rank = np.zeros(len(pairs), np.int64)
+        rank[frequent] = np.arange(len(frequent), 0, -1)
+        weight, number = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        weight[inner], number[inner] = rank[which], which
         # The heavier of two overlapping pairs goes first; in a run of one pair every other occurrence.
         left, right = np.r_[0, weight[:-1]], np.r_[weight[1:], 0]
         run = weight == left
@@ -72,16 +67,17 @@ def compress(ids: np.ndarray, end: int = END, rounds: int = ROUNDS) -> tuple[np.
         taken = (weight > 0) & (weight >= right) & ((weight > left) | run) & ((at - run_start) % 2 == 0)
         before = np.r_[False, taken[:-1]]
         taken &= ~before & ~((left > weight) & ~run)
-        if not taken.any():
+        # A rule needs two uses; the most frequent pair always has them, so every round shortens the sequence.
+        uses = np.bincount(number[taken], minlength=len(pairs))
+        taken &= uses[number] > 1
+        named = uses > 1
+        if not named.any():
             break
-        named = np.zeros(1 << SLOT_BITS, bool)
-        named[slot[taken]] = True
-        used = np.flatnonzero(named)
-        number = np.cumsum(named) - 1
-        seq[:-1][taken] = (symbols + number[slot[taken]]).astype(np.uint64)
+        place = np.cumsum(named) - 1
+        seq[:-1][taken] = (symbols + place[number[taken]]).astype(np.uint64)
         seq = seq[~np.r_[False, taken]]
-        rules.append(owner[used])
-        symbols += len(used)
+        rules.append(pairs[named])
+        symbols += int(named.sum())
     flat = np.concatenate([np.zeros(0, np.uint64), *rules])
     return seq.astype(np.uint32), np.stack([flat >> np.uint64(32), flat & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32), first
 

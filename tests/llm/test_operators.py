@@ -474,3 +474,15 @@ def test_repeated_pairs_become_rules():
     ids = np.tile(np.array([5, 6, 7, 8, 9, 1], np.uint32), 100)
     seq, rules, first = repair.compress(ids)
     assert len(seq) < len(ids) / 2 and not (rules == 1).any()
+
+
+def test_pairs_are_named_until_none_is_frequent():
+    rng = np.random.default_rng(5)
+    passage = rng.integers(2, 60_000, 512)
+    noise = rng.integers(2, 60_000, 50_000)
+    ids = np.concatenate([*(np.r_[passage, rng.integers(2, 60_000, 3), 1] for _ in range(40)), noise]).astype(np.uint32)
+    seq, rules, first = repair.compress(ids)
+    assert (repair.expand(seq, rules, first) == ids).all() and repair.expansion_lengths(rules, first).max() > 100
+    for part in (seq, repair.compress(rng.integers(2, 40, 20_000).astype(np.uint32))[0]):
+        pairs = Counter((a, b) for a, b in zip(part.tolist(), part[1:].tolist()) if 1 not in (a, b))
+        assert max(pairs.values()) < repair.LEAST
