@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ("simhash", "suffix", "automaton", "bpe", "mil", "sharding", "repetition", "language", "repair", "neighbours")
+MODULES = ("simhash", "suffix", "automaton", "bpe", "mil", "sharding", "repetition", "language", "repair", "neighbours", "infill", "countmin", "phrases")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
