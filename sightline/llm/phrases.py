@@ -14,10 +14,12 @@ work, and no phrase is lost. All tables that grow with the corpus are joined by
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +28,8 @@ from sightline.llm.common import ready
 from sightline.session import scratch_path
 
 FILTER_BITS = 26  # log2 of the bits of a table: 8 MB, whatever the input
-BLOCK_BYTES = 16 << 20  # text that is counted together
+BLOCK_BYTES = 4 << 20  # text that is counted together
+EMITTED = 50_000  # rows of a batch
 MILLION = 1_000_000
 TOP = 2000
 LEAST = 10
@@ -40,27 +43,33 @@ COUNTED = "lang string, phrase string, f long"
 
 
 class BitTable:
-    """Set of (language, phrase) by one hash; may hold what was never put in, never misses what was."""
+    """Set of hashes by their lowest bits; may hold what was never put in, never misses what was."""
 
     def __init__(self, rows: list, log2: int):
-        self.mask = (1 << log2) - 1
-        self.bytes = bytearray(1 << log2 >> 3)
+        self.mask = np.uint64((1 << log2) - 1)
+        self.bytes = np.zeros(1 << log2 >> 3, np.uint8)
         for row in rows:
             begin = (row["bucket"] - 1) * 4096
-            self.bytes[begin : begin + 4096] = bytes(row["bits"])[: len(self.bytes)]
+            self.bytes[begin : begin + 4096] = np.frombuffer(bytes(row["bits"]), np.uint8)
 
-    def __contains__(self, key: bytes) -> bool:
-        h = xxhash.xxh64_intdigest(key, 42) & self.mask
-        return bool(self.bytes[h >> 3] >> (h & 7) & 1)
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes & self.mask
+        return (self.bytes[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def word_hash(word: Column) -> Column:
+    return F.xxhash64(F.concat_ws("\t", "lang", word))
 
-    def of(self, lang: bytes, phrases: list[bytes]) -> np.ndarray:
-        head = lang + b"\t"
-        return np.fromiter((head + p in self for p in phrases), bool, len(phrases))
 
+def pair_hash(pair: Column) -> Column:
+    """Of the hashes of both words, the first one turned by 17 bits; ``Block.pair_hashes`` does the same."""
+    first, second = (word_hash(F.split(pair, " ")[k]) for k in range(2))
+    return F.shiftleft(first, 17).bitwiseXOR(F.shiftrightunsigned(first, 47)).bitwiseXOR(second)
 
-def bit_table(df: DataFrame, log2: int = FILTER_BITS) -> BitTable:
-    """Bits of the distinct (lang, phrase) of ``df``, gathered as at most 2^(log2 - 15) rows of 4 KB."""
-    place = F.pmod(F.xxhash64(F.concat_ws("\t", "lang", "phrase")), F.lit(1 << log2)) + 1
+
+def bit_table(df: DataFrame, hashed: Column, log2: int = FILTER_BITS) -> BitTable:
+    """Bits of the distinct hashes of ``df``, gathered as at most 2^(log2 - 15) rows of 4 KB."""
+    place = F.pmod(hashed, F.lit(1 << log2)) + 1
     rows = df.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     return BitTable(rows.collect(), log2)
 
@@ -71,6 +80,9 @@ class _Numbers(dict):
         return number
 
 
+Counts = tuple[pa.Array, np.ndarray]  # phrases, and how often each was found
+
+
 class Block:
     """Words of some texts of one language; number 0 parts what must not be joined."""
 
@@ -78,40 +90,48 @@ class Block:
         number = _Numbers({b".": 0})
         stream = b".".join(texts).translate(LETTERS).replace(b".", b" . ").split(b" ")
         self.ids = np.fromiter(map(number.__getitem__, filter(None, stream)), np.int64)
-        self.words = list(number)
-        self.lang = lang
-
-    def singles(self) -> Iterator[tuple[bytes, int]]:
-        counts = np.bincount(self.ids, minlength=len(self.words)).tolist()
-        return zip(self.words[1:], counts[1:])
-
-    def wanted(self, words: BitTable) -> np.ndarray:
-        keep = words.of(self.lang, self.words)
-        keep[0] = False
-        return keep[self.ids]
-
-    def pairs(self, words: BitTable) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-        """(place, distinct pairs, which pair, counts) of neighbours that are both in ``words``."""
-        keep = self.wanted(words)
-        at = np.flatnonzero(keep[:-1] & keep[1:])
-        codes, which, counts = np.unique(self.ids[at] * len(self.words) + self.ids[at + 1], return_inverse=True, return_counts=True)
-        first, second = np.divmod(codes, len(self.words))
-        return at, [self.words[a] + b" " + self.words[b] for a, b in zip(first.tolist(), second.tolist())], which, counts
-
-    def triples(self, words: BitTable, grown: BitTable, endings: BitTable) -> Iterator[tuple[bytes, int]]:
-        """Counts of triples that begin with a pair of ``grown`` or end with one of ``endings``."""
-        at, pairs, which, _ = self.pairs(words)
-        grows, ends = grown.of(self.lang, pairs), endings.of(self.lang, pairs)
-        pair_at = np.full(len(self.ids) + 1, -1)
-        pair_at[at] = which
-        second = pair_at[at + 1]
-        both = (second >= 0) & (grows[which] | ends[second]) if len(at) else np.zeros(0, bool)
-        codes, counts = np.unique(which[both] * len(self.words) + self.ids[at[both] + 2], return_counts=True)
-        pair, last = np.divmod(codes, len(self.words))
-        return ((pairs[p] + b" " + self.words[w], n) for p, w, n in zip(pair.tolist(), last.tolist(), counts.tolist()))
-
-
-def counted(docs: DataFrame, count: Callable[[Block], Iterator[tuple[bytes, int]]]) -> DataFrame:
+        self.words = pa.array(list(number), pa.binary())
+        head = lang + b"\t"
+        self.hashes = np.fromiter((xxhash.xxh64_intdigest(head + w, 42) for w in number), np.uint64, len(number))
+
+    def phrases(self, *numbers: np.ndarray) -> pa.Array:
+        """Words by number, joined by spaces."""
+        parts = [self.words.take(pa.array(n)) for n in numbers]
+        return pa.compute.binary_join_element_wise(*parts, b" ").cast(pa.string())
+
+    def singles(self) -> Counts:
+        return self.words[1:].cast(pa.string()), np.bincount(self.ids, minlength=len(self.words))[1:]
+
+    def pair_hashes(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        h = self.hashes[first]
+        return (h << np.uint64(17)) ^ (h >> np.uint64(47)) ^ self.hashes[second]
+
+    def neighbours(self, words: BitTable) -> np.ndarray:
+        """Places of words that are in ``words`` as the next one is, in the same piece."""
+        known = words.holds(self.hashes)
+        known[0] = False
+        keep = known[self.ids]
+        return np.flatnonzero(keep[:-1] & keep[1:])
+
+    def pairs(self, words: BitTable) -> Counts:
+        at = self.neighbours(words)
+        codes, counts = np.unique(self.ids[at] * len(self.words) + self.ids[at + 1], return_counts=True)
+        return self.phrases(*np.divmod(codes, len(self.words))), counts
+
+    def triples(self, words: BitTable, grown: BitTable, endings: BitTable) -> Counts:
+        """Triples that begin with a pair of ``grown`` or end with one of ``endings``."""
+        at = self.neighbours(words)
+        hashes = self.pair_hashes(self.ids[at], self.ids[at + 1])
+        follow = np.flatnonzero(at[1:] == at[:-1] + 1)
+        begin = at[follow[grown.holds(hashes[follow]) | endings.holds(hashes[follow + 1])]]
+        base = len(self.words)
+        pairs, which = np.unique(self.ids[begin] * base + self.ids[begin + 1], return_inverse=True)
+        codes, counts = np.unique(which * base + self.ids[begin + 2], return_counts=True)
+        pair, third = np.divmod(codes, base)
+        return self.phrases(*np.divmod(pairs[pair], base), third), counts
+
+
+def counted(docs: DataFrame, count: Callable[[Block], Counts]) -> DataFrame:
     """(lang, phrase, f): what ``count`` finds in blocks of text of one language, added up."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,25 +139,43 @@ def counted(docs: DataFrame, count: Callable[[Block], Iterator[tuple[bytes, int]
         sizes: dict[str, int] = {}
 
         def flush(lang: str) -> Iterator[pa.RecordBatch]:
-            found = list(count(Block(lang.encode(), held.pop(lang))))
+            found, counts = count(Block(lang.encode(), held.pop(lang)))
             del sizes[lang]
-            for k in range(0, len(found), 100_000):
-                phrases, counts = zip(*found[k : k + 100_000])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "f"])
+            name = pa.array([lang], pa.string())
+            for k in range(0, len(found), EMITTED):
+                part = found[k : k + EMITTED]
+                langs = name.take(pa.array(np.zeros(len(part), np.int64)))
+                yield pa.RecordBatch.from_arrays([langs, part, pa.array(counts[k : k + EMITTED])], ["lang", "phrase", "f"])
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(lang, []).append(text)
-                sizes[lang] = sizes.get(lang, 0) + len(text)
-                if sizes[lang] >= BLOCK_BYTES or sum(sizes.values()) >= 4 * BLOCK_BYTES:
-                    yield from flush(max(sizes, key=sizes.get))
+                # A long text goes in stretches cut at the end of a piece, so that a block stays small.
+                for part in stretches(text):
+                    held.setdefault(lang, []).append(part)
+                    sizes[lang] = sizes.get(lang, 0) + len(part)
+                    if sizes[lang] >= BLOCK_BYTES or sum(sizes.values()) >= 4 * BLOCK_BYTES:
+                        yield from flush(max(sizes, key=sizes.get))
         for lang in list(held):
             yield from flush(lang)
 
     return docs.mapInArrow(read, COUNTED).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+ENDS = re.compile(b"[%s]" % re.escape(PIECE_ENDS))
+
+
+def stretches(text: bytes) -> Iterator[bytes]:
+    """``text`` in parts of about BLOCK_BYTES that end where a piece ends; a longer piece stays whole."""
+    begin = 0
+    while len(text) - begin > BLOCK_BYTES:
+        end = ENDS.search(text, begin + BLOCK_BYTES)
+        if end is None:
+            break
+        yield text[begin : end.end()]
+        begin = end.end()
+    yield text[begin:]
+
+
 def _scaled(product: Column, whole: Column) -> Column:
     """floor(1000000 * product / whole), exactly, beyond 64 bits too."""
     return F.call_function("div", product.cast("decimal(30,0)") * F.lit(MILLION).cast("decimal(7,0)"), whole)
@@ -213,14 +251,10 @@ def collocations(
     singles = _stored(counted(docs, lambda block: block.singles()), "words")
     sizes = singles.groupBy("lang").agg(F.sum("f").alias("n"))
     words = singles.where(F.col("f") >= least)
-    shared = spark.sparkContext.broadcast(bit_table(words, filter_bits))  # 2^filter_bits bits
-
-    def count_pairs(block: Block) -> Iterator[tuple[bytes, int]]:
-        _, pairs, _, counts = block.pairs(shared.value)
-        return zip(pairs, counts.tolist())
+    shared = spark.sparkContext.broadcast(bit_table(words, word_hash(F.col("phrase")), filter_bits))  # 2^filter_bits bits
 
     part = F.split("phrase", " ")
-    found = counted(docs, count_pairs).where(F.col("f") >= least).withColumns({"_w1": part[0], "_w2": part[1]})
+    found = counted(docs, lambda block: block.pairs(shared.value)).where(F.col("f") >= least).withColumns({"_w1": part[0], "_w2": part[1]})
     for name, count in (("_w1", "l"), ("_w2", "r")):
         found = found.join(words.select("lang", F.col("phrase").alias(name), F.col("f").alias(count)), ["lang", name])
     bound = _scaled(F.col("f").cast("decimal(15,0)"), F.col("l").cast("decimal(15,0)"))
@@ -233,10 +267,10 @@ def collocations(
         now = open_bars.join(bars(pairs, wanted), "lang")
         front = pairs.join(now, "lang")
         grown, endings = (front.where((F.col(c) >= F.col("bar")) & (F.col(c) < F.col("before"))) for c in ("bound", "score"))
-        tables = spark.sparkContext.broadcast((bit_table(grown, filter_bits), bit_table(endings, filter_bits)))  # twice as many bits
+        tables = spark.sparkContext.broadcast(tuple(bit_table(t, pair_hash(F.col("phrase")), filter_bits) for t in (grown, endings)))  # twice as many bits
         read = docs.join(open_bars.select("lang"), "lang", "left_semi") if triples is not None else docs
 
-        def count_triples(block: Block, tables=tables) -> Iterator[tuple[bytes, int]]:
+        def count_triples(block: Block, tables=tables) -> Counts:
             return block.triples(shared.value, *tables.value)
 
         more = _stored(counted(read, count_triples).where(F.col("f") >= least), "triples")
