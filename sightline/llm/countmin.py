@@ -107,6 +107,15 @@ def cells(keys: np.ndarray, row: int, slices: int) -> tuple[np.ndarray, np.ndarr
     return ((h >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64) + row * slices, (h & np.uint64((1 << CELL_BITS) - 1)).astype(np.uint32)
 
 
+def packed(cell: np.ndarray) -> bytes:
+    """Rising cells as steps, byte by byte of all of them: the upper bytes are almost all zero, and the shuffle's compression drops them."""
+    return np.ascontiguousarray(np.diff(cell, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.uint32)
+
+
 def bits(flags: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 
@@ -136,19 +145,20 @@ def remove_repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str
     docs = docs.withColumn("g", F.pmod(F.xxhash64("id", "text"), F.lit(groups)))
 
     def sliced(keys: np.ndarray):
-        """(slice, places in ``keys``, cells) of all rows of the sketch, always in the same order."""
+        """(slice, places in ``keys``, cells) of all rows of the sketch, always in the same order, cells rising."""
         for row in range(rows):
             where, cell = cells(keys, row, slices)
-            for number, places in dealt(where):
-                yield number, places, cell[places]
+            rising = np.argsort(cell, kind="stable")
+            for number, places in dealt(where[rising]):
+                yield number, rising[places], cell[rising[places]]
 
     def own_sketch(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         found, several, _ = Group(group, width).counted()
-        sent = [(number, key[0].as_py(), cell.tobytes(), bits(several[places])) for number, places, cell in sliced(found)]
+        sent = [(number, key[0].as_py(), packed(cell), bits(several[places])) for number, places, cell in sliced(found)]
         return pa.Table.from_pylist([dict(zip(("part", "g", "cells", "several"), s)) for s in sent], ASKED)
 
     def merged(key: tuple[pa.Scalar, ...], slice_: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(x, np.uint32) for x in slice_.column("cells").to_pylist()]
+        sent = [unpacked(x) for x in slice_.column("cells").to_pylist()]
         count = np.zeros(1 << CELL_BITS, np.uint8)
         for cell, several in zip(sent, slice_.column("several").to_pylist()):
             twice = flags(several, len(cell))
@@ -156,7 +166,7 @@ def remove_repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str
             count[cell] = 1
             # Two windows of one group may share a cell: whatever was or becomes two stays two.
             count[cell[twice | (held > 0)]] = 2
-            count[cell[_again(cell)]] = 2
+            count[cell[1:][cell[1:] == cell[:-1]]] = 2
         return _answer(key[0].as_py(), 0, slice_.column("g"), [bits(count[cell] > 1) for cell in sent])
 
     def estimated(own: Group, answers: pa.Table) -> np.ndarray:
@@ -234,13 +244,6 @@ CUT = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.i
                  ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])
 
 
-def _again(cell: np.ndarray) -> np.ndarray:
-    """Places whose cell stands at an earlier or later place too."""
-    order = np.argsort(cell, kind="stable")
-    same = np.flatnonzero(cell[order[1:]] == cell[order[:-1]])
-    return np.concatenate([order[same], order[same + 1]])
-
-
 def _answer(part: int, kind: int, groups: pa.ChunkedArray, blobs: list[bytes]) -> pa.Table:
     n = len(blobs)
     return pa.table({"g": groups.combine_chunks(), "kind": pa.array([kind] * n, pa.int32()), "part": pa.array([part] * n, pa.int64()), "data": pa.array(blobs, pa.binary())})
