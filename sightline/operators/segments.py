@@ -1,13 +1,18 @@
 """Ordered per-key computations that survive a hot key.
 
 A window partitioned by key puts each key in one task, and a key that holds a third of a large table
-never ends. Here rows are dealt to ranges of (keys, order), so a key that is too large for one range
-runs on in the next ones. The window runs per (range, key). Only the last key of a range can go on, so
-one summary row per range is carried forward and joined back on the range. The plan is the same for
-any input, and nothing is measured beforehand. The result is that of the plain window.
-
-``order`` lists columns in ascending order, nulls first; it should be unique per key. Rows that tie in all
-of them are told apart by a hash of the row, so that even equal keys and orders can be cut.
+never ends. Here a key that fills more than two tasks' share is cut into stretches of its order; the window runs per
+(key, stretch), and one summary row per stretch is carried forward and joined back. The plan is the same for any
+input, and the result is that of the plain window.
+
+Which keys are cut, and where, comes from a sample by hash and is held as constants: the stretch of a row is a function of
+the row alone. So nothing has to be written to keep it, a recomputed task gives the same rows, and the wide rows are
+shuffled once, for the window. Count, sample and summaries read keys, order and the needed values only. ``df`` is read once for each of
+these and must give the same rows each time.
+
+``order`` lists columns in ascending order, nulls first; it should be unique per key. Rows that tie in all of them are
+told apart by a hash of the values in question, so that equal keys and orders can be cut, and then by one of the row (maps and
+variants aside). Rows that are equal in keys, order and values stay in one stretch.
 """
 
 from __future__ import annotations
@@ -18,7 +23,8 @@ from pyspark.sql import types as T
 
 from sightline.session import cut_lineage
 
-_OVER_RANGES = {"sum": F.sum, "count": F.sum, "rows": F.sum, "min": F.min, "max": F.max}
+SAMPLED = 16  # rows of the sample for each task's share
+_OVER_STRETCHES = {"sum": F.sum, "count": F.sum, "rows": F.sum, "min": F.min, "max": F.max}
 
 
 def _aggregate(kind: str, column: str) -> Column:
@@ -32,6 +38,38 @@ def _tie(df: DataFrame) -> Column:
     return F.xxhash64(*plain)
 
 
+def _same(keys: list[str], prefix: str) -> Column:
+    """The row's keys equal those of a joined table, nulls too."""
+    condition = F.lit(True)
+    for i, name in enumerate(keys):
+        condition = condition & F.col(name).eqNullSafe(F.col(f"{prefix}{i}"))
+    return condition
+
+
+def _with_stretch(df: DataFrame, keys: list[str], place: Column) -> DataFrame:
+    """``df`` with ``_stretch``: how many borders of its key lie at or below its ``place``; 0 for keys that are not cut."""
+    spark = df.sparkSession
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rate = 1 << 20
+    least = min(rate, -(-rate * SAMPLED * shares // max(1, df.count())))
+    held = [F.col(name).alias(f"_h{i}") for i, name in enumerate(keys)]
+    sample = df.where(F.pmod(F.xxhash64(*keys, place), F.lit(rate)) < least).select(*held, place.alias("p")).distinct()
+    by_key = sample.groupBy(*[f"_h{i}" for i in range(len(keys))]).agg(F.array_sort(F.collect_list("p")).alias("every"))
+    borders = F.filter("every", lambda _p, i: (i > 0) & (F.pmod(i, F.lit(SAMPLED)) == 0)).alias("_borders")
+    cut = by_key.where(F.size("every") >= 2 * SAMPLED).select(*[f"_h{i}" for i in range(len(keys))], borders)
+    # About a border for each task's share, whatever the input; held by the driver so that every pass sees the same ones.
+    fixed = F.broadcast(spark.createDataFrame(cut.collect(), cut.schema))
+    steps = [1 << k for k in reversed(range((4 * shares).bit_length()))]
+
+    def search(pos: Column, step: Column) -> Column:
+        further = (pos + step <= F.size("_borders")) & (F.get("_borders", pos + step - 1) <= place)
+        return F.when(further, pos + step).otherwise(pos)
+
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), search)
+    joined = df.join(fixed, _same(keys, "_h"), "left")
+    return joined.select(*df.columns, F.col("_borders").isNotNull().alias("_cut"), F.when(F.col("_borders").isNotNull(), found).otherwise(0).alias("_stretch"))
+
+
 def with_ordered(
     df: DataFrame,
     keys: list[str],
@@ -46,27 +84,25 @@ def with_ordered(
     """
     lags, running = lags or {}, running or {}
     base = df.select("*", *[e.alias(f"_x_{n}") for n, (_k, e) in running.items()])
-    dealt = base.withColumn("_tie", _tie(df)).repartitionByRange(*keys, *order, "_tie")
-    # The ranges have to stay as they are while they are used twice: a recomputed task could move rows.
-    fixed = cut_lineage(dealt.withColumn("_range", F.spark_partition_id()))
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(True))
-    edges = fixed.groupBy("_range").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
-    # One row for each range below, so the broadcasts are bounded by the number of tasks.
-    in_last = fixed.join(F.broadcast(edges.select("_range", "_last")), "_range").filter(key.eqNullSafe(F.col("_last")))
-    values = F.struct(F.lit(True), *[F.col(c).alias(n) for n, c in lags.items()])
+    # Rows that tie in this too are alike for all that is computed here, so no other column has to be read to place them.
+    needed = [F.col(c) for c in lags.values()] + [F.col(f"_x_{n}") for n in running]
+    base = base.withColumn("_tie", F.xxhash64(*needed))
     place = F.struct(*[F.col(c) for c in order], F.col("_tie"))
-    tails = in_last.groupBy("_range").agg(
-        F.first("_last").alias("_key"), F.max_by(values, place).alias("_tail"),
-        *[_aggregate(k, f"_x_{n}").alias(f"_t_{n}") for n, (k, _e) in running.items()],
+    dealt = _with_stretch(base, keys, place)
+    held = [f"_k{i}" for i in range(len(keys))]
+    values = F.struct(F.lit(True), *[F.col(c).alias(n) for n, c in lags.items()])
+    tails = dealt.where("_cut").groupBy(*[F.col(k).alias(h) for k, h in zip(keys, held)], F.col("_stretch").alias("_at")).agg(
+        F.max_by(values, place).alias("_tail"), *[_aggregate(k, f"_x_{n}").alias(f"_t_{n}") for n, (k, _e) in running.items()]
+    )
+    before = Window.partitionBy(*held).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(
+        *held, "_at", F.last("_tail", ignorenulls=True).over(before).alias("_tail"),
+        *[_OVER_STRETCHES[k](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (k, _e) in running.items()],
     )
-    heads = edges.select("_range", F.col("_first").alias("_key"), F.lit(True).alias("_head"))
-    before = Window.partitionBy("_key").orderBy("_range").rangeBetween(Window.unboundedPreceding, -1)
-    carried = heads.unionByName(tails, allowMissingColumns=True).select(
-        "_range", F.col("_key").alias("_first"), "_head", F.last("_tail", ignorenulls=True).over(before).alias("_tail"),
-        *[_OVER_RANGES[k](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (k, _e) in running.items()],
-    ).filter("_head").drop("_head")
-    joined = fixed.join(F.broadcast(carried), "_range", "left").withColumn("_goes_on", key.eqNullSafe(F.col("_first")))
-    window = Window.partitionBy("_range", *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order], "_tie")
+    # One row for each stretch, so the broadcast is bounded by the number of tasks.
+    joined = dealt.join(F.broadcast(carried), _same(keys, "_k") & (F.col("_stretch") == F.col("_at")), "left")
+    joined = joined.withColumn("_goes_on", F.col("_tail").isNotNull()).withColumn("_row", _tie(df))
+    window = Window.partitionBy(*keys, "_stretch").orderBy(*[F.col(c).asc_nulls_first() for c in order], "_tie", "_row")
     upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = joined.select(
         "*", F.row_number().over(window).alias("_place"),
@@ -114,6 +150,8 @@ def exact_percentiles(
         .groupBy(*groups, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    # Values and counts only; what counts them is not done again for each pass over the ranges.
+    histogram = cut_lineage(histogram)
     ranked = with_running(histogram, groups, ["_v"], {"_cum": ("sum", F.col("_c"))})
     sizes = ranked.groupBy(*groups).agg(F.max("_cum").alias("_n"))
     if groups:
