@@ -1,14 +1,17 @@
-"""Adjacency lists: walk a tree level by level, in pre-order, with orphans as roots."""
+"""Adjacency lists as trees: level, root and place in depth-first order, with orphans as roots.
+
+Pointers are doubled: after k rounds a node knows its ancestor 2^k above, and sums along the way. A tree of any depth
+takes a number of joins that grows with the logarithm of its depth.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sightline.operators.segments import with_running
 from sightline.session import cut_lineage
 
-MAX_LEVELS = 200
-
 
 def with_root_flag(nodes: DataFrame, row_id: str, parent: str, scope: list[str]) -> DataFrame:
     """``is_root``: no parent, or a parent outside the scope's own set."""
@@ -16,40 +19,54 @@ def with_root_flag(nodes: DataFrame, row_id: str, parent: str, scope: list[str])
     return nodes.join(parents, [*scope, parent], "left").withColumn("is_root", F.col("_has").isNull()).drop("_has")
 
 
-def walk(
-    nodes: DataFrame, row_id: str, parent: str, siblings: list[str], scope: list[str] | None = None,
-    max_levels: int = MAX_LEVELS,
-) -> DataFrame:
-    """Every reachable node with ``tree_level``, ``root_id`` and the sort key ``tree_path``.
-
-    Sorting by ``tree_path`` gives depth-first pre-order. One join per level; each frontier is
-    checkpointed, so a level is computed once and survives the loss of an executor.
+def _doubled(nodes: DataFrame, sums: list[str], up_sum: str | None, most: int) -> DataFrame:
+    """``nodes`` (node, jump, ...) after pointer doubling: every ``sums`` column added up over the node and all its
+    ancestors, ``up_sum`` over the node and all its descendants; ``top`` is the root and ``jump`` null. A node on
+    or below a cycle keeps its pointer when 2^rounds has passed ``most``, the number of nodes.
     """
-    scope = scope or []
-    step = F.struct(*siblings)
-    narrow = with_root_flag(nodes, row_id, parent, scope).select(*scope, row_id, parent, "is_root", step.alias("_step"))
-    narrow = cut_lineage(narrow)
-    frontier = narrow.filter("is_root").select(
-        *scope, row_id, F.lit(0).alias("tree_level"), F.col(row_id).alias("root_id"), F.array("_step").alias("tree_path")
-    )
-    children = narrow.filter("not is_root").drop("is_root")
-    levels = []
-    for _ in range(max_levels):
-        frontier = cut_lineage(frontier)
-        if frontier.isEmpty():
-            break
-        levels.append(frontier)
-        up = frontier.select(*scope, F.col(row_id).alias(parent), "tree_level", "root_id", "tree_path")
-        frontier = children.join(up, [*scope, parent]).select(
-            *scope, row_id, (F.col("tree_level") + 1).alias("tree_level"), "root_id",
-            F.concat("tree_path", F.array("_step")).alias("tree_path"),
+    state, reach = cut_lineage(nodes.withColumn("top", F.coalesce("jump", "node"))), 1
+    while reach <= 2 * most and not state.where("jump IS NOT NULL").isEmpty():
+        above = state.select(
+            F.col("node").alias("jump"), F.col("jump").alias("_jump"), F.col("top").alias("_top"), *[F.col(c).alias(f"_{c}") for c in sums]
         )
-    else:
-        raise ValueError(f"hierarchy deeper than {max_levels} levels")
-    out = levels[0] if levels else frontier
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
+        further = state.join(above, "jump", "left")
+        moved = {"jump": F.col("_jump"), "top": F.coalesce("_top", "top"), **{c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in sums}}
+        if up_sum:
+            below = state.where("jump IS NOT NULL").groupBy(F.col("jump").alias("node")).agg(F.sum(up_sum).alias("_below"))
+            further = further.join(below, "node", "left")
+            moved[up_sum] = F.col(up_sum) + F.coalesce("_below", F.lit(0))
+        state = cut_lineage(further.select(*[moved[c].alias(c) if c in moved else F.col(c) for c in state.columns]))
+        reach *= 2
+    return state
+
+
+def walk(nodes: DataFrame, row_id: str, parent: str, siblings: list[str], scope: list[str] | None = None) -> DataFrame:
+    """Every reachable node of each ``scope`` with ``tree_level``, ``root_id`` and ``tree_position`` (from 1, depth first).
+
+    Siblings, and the roots of a scope, follow each other by ``siblings``. Ids are unique in a scope; a parent outside the scope makes a root.
+    Two doublings: the first counts levels and the nodes below each node, the second adds up along each path how many
+    nodes stand before it. Nodes on or below a cycle are left out; ``unreachable`` lists them.
+    """
+    scope = scope or []
+    flagged = with_root_flag(nodes, row_id, parent, scope)
+    node = F.struct(*scope, row_id)
+    rows = flagged.select(
+        node.alias("node"), F.when(~F.col("is_root"), F.struct(*scope, F.col(parent).alias(row_id))).alias("jump"),
+        F.struct(*siblings).alias("step"), F.lit(1).cast("long").alias("size"), F.lit(1).cast("long").alias("levels"),
+    )
+    first = rows.withColumn("parent", F.col("jump"))
+    most = first.count()
+    sized = _doubled(first, ["levels"], "size", most).where("jump IS NULL")
+    family = sized.select("*", *[F.col("node")[c].alias(f"_s{i}") for i, c in enumerate(scope)])
+    keys = [*[f"_s{i}" for i in range(len(scope))], "parent"]
+    # Places taken by a node and all its earlier siblings, less its own descendants: its step from its parent.
+    ordered = with_running(family, keys, ["step", "node"], {"upto": ("sum", F.col("size"))})
+    placed = ordered.select("node", F.col("parent").alias("jump"), "levels", F.col("top").alias("root"), (F.col("upto") - F.col("size") + 1).alias("position"))
+    done = _doubled(placed, ["position"], None, most)
+    return done.select(
+        *[F.col("node")[c].alias(c) for c in scope], F.col("node")[row_id].alias(row_id), (F.col("levels") - 1).cast("int").alias("tree_level"),
+        F.col("root")[row_id].alias("root_id"), F.col("position").alias("tree_position"),
+    )
 
 
 def unreachable(nodes: DataFrame, walked: DataFrame, row_id: str) -> DataFrame:

@@ -120,6 +120,26 @@ def bounded_preview(
     )
 
 
+def archive_bounded_previews(targets: dict[str, tuple[str, DataFrame, str]], coverage: DataFrame, limit: int) -> DataFrame:
+    """One row for each target, capped by what the archive covers of its dataset; no rows unless every dataset is complete.
+
+    ``targets[name]`` is (dataset key, candidates with id, their time column). ``coverage`` is the audit of the checkpoint chains by
+    dataset (status, source_id_covered). A dataset that the audit does not know makes it incomplete.
+    """
+    keys = sorted({key for key, _, _ in targets.values()})
+    complete = (F.count_if(F.col("status") != "complete") == 0) & (F.count_if(F.col("dataset_key").isin(keys)) == len(keys))
+    audit = coverage.agg(complete.alias("complete"), *[F.max(F.when(F.col("dataset_key") == k, F.col("source_id_covered"))).alias(k) for k in keys]).first()
+    rows = []
+    for name, (key, candidates, at) in targets.items():
+        covered = F.lit(audit[key]).cast("long")
+        capped = candidates.filter(F.col("id") <= covered)
+        rows.append(bounded_preview(name, capped, at, limit, covered, F.lit(True)).filter(F.lit(audit["complete"])))
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row)
+    return out
+
+
 def run_cascade_counts(run_ids: DataFrame, partitions: DataFrame, events: DataFrame) -> DataFrame:
     """Partitions and sightings that go together with the runs, per run."""
     ids = run_ids.select(F.col("id").alias("crawl_run_id"))

@@ -301,7 +301,7 @@ def a9(spark, d):
     root = exported(spark, d)
     inv = ar.read_inventory(spark, root)
     counts = archived(spark, d).groupBy("data_file").agg(F.count(F.lit(1)).alias("row_count"))
-    checked = au.verify_files(inv, ar.file_digests(spark, f"{root}/data"), counts, inv)
+    checked = au.verify_files(inv, ar.file_digests(spark, f"{root}/data"), counts, inv, root)
     return checked.groupBy("dataset_key").agg(
         F.count("issue").cast("int").alias("files_with_issue"), (F.count(F.lit(1)) > 0).alias("has_files")
     )
@@ -394,15 +394,23 @@ def a13(spark, d):
 
 @query(
     "A14_replica_check",
-    """select 'data/f' || o_orderkey as data_file, case when o_orderkey % 5 = 0 then 'missing in replica' when o_orderkey % 7 = 0 then 'size differs'
-when o_orderkey % 11 = 0 then 'content differs' end as issue from orders""",
+    """select 'data/bronze/day=' || o_orderkey % 40 || '/f' || o_orderkey as data_file, case when o_orderkey % 40 < 20 then null
+when o_orderkey % 5 = 0 then 'missing in replica' when o_orderkey % 7 = 0 then 'size differs' when o_orderkey % 11 = 0 then 'content differs' end as issue from orders
+union all select 'data/bronze/day=99/f' || o_orderkey, 'unknown file in replica' from orders where o_orderkey % 13 = 0""",
 )
 def a14(spark, d):
-    local = bundles(spark, d)[0].select("data_file", "data_size_bytes", "data_sha256", "k")
-    damaged = F.when(F.pmod("k", F.lit(11)) == 0, F.lit("x")).otherwise(F.col("data_sha256"))
-    size = F.when(F.pmod("k", F.lit(7)) == 0, -1).otherwise(F.col("data_size_bytes"))
-    replica = local.filter(F.pmod("k", F.lit(5)) != 0).withColumns({"data_sha256": damaged, "data_size_bytes": size})
-    return au.replica_check(local, replica)
+    """Roots that hold a folder ``data`` themselves; half of the folders are alike."""
+    k = F.col("k")
+    name = F.concat(F.lit("data/bronze/day="), F.pmod(k, F.lit(40)).cast("string"), F.lit("/f"), k.cast("string"))
+    files = bundles(spark, d)[0].select(name.alias("data_file"), "data_size_bytes", "data_sha256", "k")
+    local = files.withColumn("data_file", F.concat(F.lit("file:///srv/data/arch/"), "data_file"))
+    touched = F.pmod(k, F.lit(40)) >= 20
+    damaged = F.when(touched & (F.pmod(k, F.lit(11)) == 0), F.lit("x")).otherwise(F.col("data_sha256"))
+    size = F.when(touched & (F.pmod(k, F.lit(7)) == 0), -1).otherwise(F.col("data_size_bytes"))
+    kept = files.filter(~touched | (F.pmod(k, F.lit(5)) != 0)).withColumns({"data_sha256": damaged, "data_size_bytes": size})
+    more = files.filter(F.pmod(k, F.lit(13)) == 0).withColumn("data_file", F.concat(F.lit("data/bronze/day=99/f"), k.cast("string")))
+    replica = kept.unionByName(more).withColumn("data_file", F.concat(F.lit("s3a://bucket/data/r/"), "data_file"))
+    return au.replica_check(local, replica, "/srv/data/arch", "s3a://bucket/data/r/")
 
 
 @query(

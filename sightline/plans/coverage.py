@@ -199,17 +199,22 @@ def orphan_roots(spark, d):
 
 @query(
     "C2_coverage_tree",
-    f"""with recursive {PARTITIONS}, t as (
-  select id, 0 as tree_level, id as root_id, [{{'k': partition_key, 'i': id}}] as path from parts where parent_partition_id is null
+    f"""with recursive {PARTITIONS}, keyed as (
+  select *, {{'d': id % 3, 's': coalesce(case when id % 5 <> 0 then 'area:' || (id % 13) end, partition_key), 'k': partition_key, 'i': cast(id as varchar)}} as step from parts),
+t as (
+  select crawl_run_id, id, 0 as tree_level, id as root_id, [step] as path from keyed k
+  where parent_partition_id is null or not exists (select 1 from parts p where p.crawl_run_id = k.crawl_run_id and p.id = k.parent_partition_id)
   union all
-  select p.id, t.tree_level + 1, t.root_id, list_append(t.path, {{'k': p.partition_key, 'i': p.id}})
-  from parts p join t on p.parent_partition_id = t.id)
-select id, tree_level, root_id, row_number() over (order by path) as tree_position from t""",
+  select p.crawl_run_id, p.id, t.tree_level + 1, t.root_id, list_append(t.path, p.step)
+  from keyed p join t on p.crawl_run_id = t.crawl_run_id and p.parent_partition_id = t.id)
+select crawl_run_id, id, tree_level, root_id, row_number() over (partition by crawl_run_id order by path) as tree_position from t""",
 )
 def tree(spark, d):
-    walked = hy.walk(partitions(spark, d), "id", "parent_partition_id", ["partition_key", "id"])
-    ordered = with_running(walked, [], ["tree_path"], {"tree_position": ("rows", F.lit(1))})
-    return ordered.select("id", "tree_level", "root_id", "tree_position")
+    """The tree of each run; siblings by depth, scope, key and id as text, partitions without a parent in the run as roots."""
+    k = F.col("id")
+    scope_key = F.when(F.pmod(k, F.lit(5)) != 0, F.concat(F.lit("area:"), F.pmod(k, F.lit(13)).cast("string")))
+    rows = partitions(spark, d).withColumns({"depth": F.pmod(k, F.lit(3)), "scope": F.coalesce(scope_key, "partition_key"), "text_id": k.cast("string")})
+    return hy.walk(rows, "id", "parent_partition_id", ["depth", "scope", "partition_key", "text_id"], ["crawl_run_id"])
 
 
 @query(

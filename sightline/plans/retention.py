@@ -17,6 +17,7 @@ from sightline.plans.bindings import (
     table,
 )
 from sightline.plans.registry import query
+from sightline.sources import audit as au
 
 CUTOFF = "2024-01-20"
 
@@ -308,6 +309,47 @@ def r9(spark, d):
     return r.bounded_preview("raw_api_payload", candidates, "received_at", 200, cap, F.lit(True))
 
 
+DAYS = {"bronze/raw_api_payload": "2024-01-18", "silver/vacancy_snapshot": "2024-01-16", "silver/detail_fetch_attempt": "2024-01-20"}
+
+
+def checkpoint_coverage(spark, d, issue=None):
+    """Audit of three chains of daily checkpoints; with ``issue`` the last one of the snapshots is damaged."""
+    e = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    chains = []
+    for key, until in DAYS.items():
+        days = e.filter(F.col("day") < F.lit(until).cast("date")).groupBy("day").agg(F.max("event_id").alias("source_id_after"), F.count("*").alias("row_count"))
+        bad = F.lit(key == "silver/vacancy_snapshot" and issue is not None) & (F.col("day") == F.date_sub(F.lit(until).cast("date"), 1))
+        chains.append(days.select(F.lit(key).alias("dataset_key"), ~bad, F.when(bad, F.lit(issue)), F.lit(1), "row_count", "source_id_after").toDF(
+            "dataset_key", "valid", "issue", "file_count", "row_count", "source_id_after"))
+    return au.coverage(union_rows(chains))
+
+
+def _bounded(target, at, source, day):
+    return f"""select '{target}' as target, (select max(event_id) from events where ts < timestamp '{day}') as source_id_covered,
+  (select count(*) from {source} where id <= (select max(event_id) from events where ts < timestamp '{day}')) as candidate_count,
+  count(*) as action_count, min(id) as selected_min_id, max(id) as selected_max_id, 'complete' as audit from (
+    select id from {source} where id <= (select max(event_id) from events where ts < timestamp '{day}') order by {at}, id limit 200)"""
+
+
+@query(
+    "R9_archive_bounded_previews",
+    f"with {TABLES} " + " union all ".join(_bounded(*x) for x in (
+        ("raw_api_payload", "received_at", "payload_candidates", DAYS["bronze/raw_api_payload"]),
+        ("vacancy_snapshot", "captured_at", "snapshot_candidates", DAYS["silver/vacancy_snapshot"]),
+        ("detail_fetch_attempt", "requested_at", "attempt_candidates", DAYS["silver/detail_fetch_attempt"]))),
+)
+def r9_all(spark, d):
+    """All row targets under a complete audit, and under one with a damaged checkpoint, which allows none."""
+    keys = list(DAYS)
+    targets = {
+        "raw_api_payload": (keys[0], payload_candidates(spark, d), "received_at"),
+        "vacancy_snapshot": (keys[1], snapshot_candidates(spark, d), "captured_at"),
+        "detail_fetch_attempt": (keys[2], attempt_candidates(spark, d), "requested_at"),
+    }
+    audits = {"complete": checkpoint_coverage(spark, d), "damaged": checkpoint_coverage(spark, d, "data checksum mismatch")}
+    return union_rows([r.archive_bounded_previews(targets, c, 200).withColumn("audit", F.lit(name)) for name, c in audits.items()])
+
+
 @query(
     "R9_run_tree_preview",
     f"""with {TABLES}, safe as (select id from run_candidates c where not exists (

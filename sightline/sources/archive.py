@@ -9,6 +9,8 @@ Layout below an archive root::
 
 from __future__ import annotations
 
+import re
+
 import datetime as dt
 import uuid
 from dataclasses import dataclass
@@ -56,16 +58,47 @@ def settled_prefix(
     """Rows above ``after`` and below the first row that is not settled yet.
 
     One unsettled low id holds back all higher ids, so a later row never overtakes it. With a
-    limit, the first n ids of that prefix; only ids are sorted for it.
+    limit, the first n ids of that prefix, found by counting.
     """
     beyond = df.filter(F.col(row_id) > after)
     open_rows = beyond.filter(F.col(observed).isNull() | (F.col(observed) > settled_before))
-    stop = open_rows.agg(F.min(row_id)).scalar()
-    ready = beyond.filter(stop.isNull() | (F.col(row_id) < stop))
     if limit is None:
-        return ready
-    cut = ready.select(row_id).distinct().orderBy(row_id).limit(limit).agg(F.max(row_id)).scalar()
-    return ready.filter(F.col(row_id) <= cut)
+        stop = open_rows.agg(F.min(row_id)).scalar()
+        return beyond.filter(stop.isNull() | (F.col(row_id) < stop))
+    stop = open_rows.agg(F.min(row_id)).first()[0]
+    ready = beyond if stop is None else beyond.filter(F.col(row_id) < stop)
+    cut = nth_smallest(ready, row_id, limit)
+    return ready if cut is None else ready.filter(F.col(row_id) <= cut)
+
+
+CLASSES = 1024  # into which a stretch of ids is counted
+
+
+def nth_smallest(df: DataFrame, row_id: str, n: int) -> int | None:
+    """The ``n``-th distinct id in ascending order, null if there are not as many; for ``n`` below 1, one below the least.
+
+    A stretch of ids is cut into equal classes, the ids of each are counted, and the class that holds the n-th is cut again.
+    No task sorts ids, and from the second round on a scan can skip what lies outside the stretch.
+    """
+    low, high = df.agg(F.min(row_id), F.max(row_id)).first()
+    if low is None:
+        return None
+    if n < 1:
+        return low - 1
+    ids = df.select(F.col(row_id).alias("id")).distinct()
+    while low < high:
+        width = -(-(high - low + 1) // CLASSES)
+        inside = ids.filter(F.col("id").between(low, high))
+        class_ = F.floor((F.col("id") - F.lit(low)) / F.lit(width)) if width > 1 else F.col("id") - F.lit(low)
+        counts = sorted(map(tuple, inside.groupBy(class_.cast("long")).agg(F.count("*")).collect()))
+        for k, count in counts:
+            if n <= count:
+                low, high = low + k * width, min(high, low + (k + 1) * width - 1)
+                break
+            n -= count
+        else:
+            return None
+    return low if n <= 1 else None
 
 
 def partition_columns(spec: DatasetSpec, exported_at: Column) -> dict[str, Column]:
@@ -88,6 +121,14 @@ def enveloped(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     )
 
 
+def below(path: Column, root: str) -> Column:
+    """``path`` relative to ``root``, whatever scheme and authority either is written with; a relative path stays."""
+    bare = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    base = re.sub(bare, "", root).rstrip("/") + "/"
+    plain = F.regexp_replace(path, bare, "")
+    return F.when(F.startswith(plain, F.lit(base)), F.substring(plain, len(base) + 1, 1 << 30)).otherwise(plain)
+
+
 def data_path(root: str, spec: DatasetSpec, export_id: str) -> str:
     return f"{root}/data/{spec.layer}/{spec.name}/export_id={export_id}"
 
@@ -161,7 +202,7 @@ def manifests(
         F.max(spec.observed_field).cast("timestamp").alias("source_max_observed_at"),
     )
     joined = stats.join(digests, "data_file", "left")
-    relative = F.regexp_extract("data_file", r"(data/.*)$", 1)
+    relative = below(F.col("data_file"), root)
     partition = F.regexp_extract("data_file", r"export_id=[^/]*/(.*)/[^/]*$", 1)
     chunk = F.coalesce(F.try_element_at(F.split(F.regexp_extract("data_file", r"part-(\d+)", 1), "x"), F.lit(1)), F.lit("0"))
     names = StructType.fromDDL(MANIFEST).fieldNames()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sightline.operators.segments import with_lag
 from sightline.session import cut_lineage
+from sightline.sources.archive import below
 
 RECEIPT_FIELDS = ("dataset_key", "layer", "row_count", "data_size_bytes", "data_sha256")
 REQUIRED_MANIFEST_FIELDS = (
@@ -14,16 +15,12 @@ REQUIRED_MANIFEST_FIELDS = (
 )
 
 
-def relative(path: Column) -> Column:
-    return F.regexp_extract(path, r"(data/.*)$", 1)
-
-
-def verify_files(manifests: DataFrame, digests: DataFrame, counts: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Every manifest with the first thing wrong about its file, or null."""
+def verify_files(manifests: DataFrame, digests: DataFrame, counts: DataFrame, inventory: DataFrame, root: str) -> DataFrame:
+    """Every manifest with the first thing wrong about its file, or null; files are named below ``root``."""
     found = digests.select(
-        relative(F.col("data_file")).alias("data_file"), F.col("data_size_bytes").alias("_size"), F.col("data_sha256").alias("_sha")
+        below(F.col("data_file"), root).alias("data_file"), F.col("data_size_bytes").alias("_size"), F.col("data_sha256").alias("_sha")
     )
-    rows = counts.select(relative(F.col("data_file")).alias("data_file"), F.col("row_count").alias("_rows"))
+    rows = counts.select(below(F.col("data_file"), root).alias("data_file"), F.col("row_count").alias("_rows"))
     listed = inventory.select("manifest_file").distinct().withColumn("_listed", F.lit(True))
     missing = F.lit(False)
     for field in REQUIRED_MANIFEST_FIELDS:
@@ -135,24 +132,44 @@ def copy_plan(manifests: DataFrame, receipts: DataFrame) -> DataFrame:
     ).drop("_done")
 
 
-def replica_check(local: DataFrame, replica: DataFrame) -> DataFrame:
-    """Files of both sides by relative path, with what differs."""
-    a = local.select(relative(F.col("data_file")).alias("data_file"), F.struct("data_size_bytes", "data_sha256").alias("_a"))
-    b = replica.select(relative(F.col("data_file")).alias("data_file"), F.struct("data_size_bytes", "data_sha256").alias("_b"))
+def _by_folder(files: DataFrame, root: str) -> DataFrame:
+    name = below(F.col("data_file"), root)
+    return files.select(name.alias("data_file"), F.regexp_extract(name, r"^(.*)/[^/]*$", 1).alias("_folder"), "data_size_bytes", "data_sha256")
+
+
+def _folder_digests(files: DataFrame, name: str) -> DataFrame:
+    """One digest for each folder that does not depend on the order of its files."""
+    entry = F.xxhash64("data_file", "data_size_bytes", "data_sha256")
+    return files.groupBy("_folder").agg(F.struct(F.count("*"), F.sum("data_size_bytes"), F.bit_xor(entry), F.sum(F.shiftright(entry, 24))).alias(name))
+
+
+def replica_check(local: DataFrame, replica: DataFrame, local_root: str, replica_root: str) -> DataFrame:
+    """Files of both sides by their path below the root of their side, with what differs, or null.
+
+    Folders are compared first, by a digest that each side sums up; only files of folders that differ are joined one by one.
+    """
+    a, b = _by_folder(local, local_root), _by_folder(replica, replica_root)
+    pairs = _folder_digests(a, "_x").join(_folder_digests(b, "_y"), "_folder", "full_outer")
+    differ = pairs.filter(~F.col("_x").eqNullSafe(F.col("_y"))).select("_folder")
+    same = a.join(differ, "_folder", "left_anti").select("data_file", F.lit(None).cast("string").alias("issue"))
+    sides = [
+        side.join(differ, "_folder", "left_semi").select("data_file", F.struct("data_size_bytes", "data_sha256").alias(name))
+        for side, name in ((a, "_a"), (b, "_b"))
+    ]
     issue = (
         F.when(F.col("_b").isNull(), "missing in replica")
         .when(F.col("_a").isNull(), "unknown file in replica")
         .when(F.col("_a.data_size_bytes") != F.col("_b.data_size_bytes"), "size differs")
         .when(F.col("_a.data_sha256") != F.col("_b.data_sha256"), "content differs")
     )
-    return a.join(b, "data_file", "full_outer").select("data_file", issue.alias("issue"))
+    return same.union(sides[0].join(sides[1], "data_file", "full_outer").select("data_file", issue.alias("issue")))
 
 
 def prune_plan(
-    manifests: DataFrame, files: DataFrame, uploads: DataFrame, verified: DataFrame, now: Column, min_age_days: int
+    manifests: DataFrame, files: DataFrame, uploads: DataFrame, verified: DataFrame, now: Column, min_age_days: int, root: str = ""
 ) -> DataFrame:
     """What may be dropped locally: data present, old enough, equal upload and verification receipts."""
-    present = files.select(relative(F.col("data_file")).alias("data_file"), "modified_at", F.col("data_size_bytes").alias("_size"))
+    present = files.select(below(F.col("data_file"), root).alias("data_file"), "modified_at", F.col("data_size_bytes").alias("_size"))
     keys = ["manifest_file", "data_size_bytes", "data_sha256"]
     up = uploads.select(*keys).distinct().withColumn("_up", F.lit(True))
     ok = verified.select(*keys).distinct().withColumn("_ok", F.lit(True))

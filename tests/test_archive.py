@@ -80,7 +80,7 @@ def test_damage_is_found(spark, root):
     assert len(names) > 1
 
     def issues(manifests, files=digests, listed=inventory):
-        return {x["data_file"]: x["issue"] for x in au.verify_files(manifests, files, counts, listed).collect()}
+        return {x["data_file"]: x["issue"] for x in au.verify_files(manifests, files, counts, listed, root).collect()}
 
     assert set(issues(inventory).values()) == {None}
     first = F.col("data_file") == names[0]
@@ -132,3 +132,27 @@ def test_full_export_of_a_point_in_time_dataset(spark, root):
     listed = ar.export_full(df, root, ar.spec_of("silver/vacancy"), START)
     assert {(x["partition"], x["source_max_id"]) for x in listed.collect()} <= {("snapshot_date=2026-05-26", 1), ("snapshot_date=2026-05-26", 2)}
     assert listed.agg(F.sum("row_count")).first()[0] == 2
+
+
+def test_nth_id_is_found_by_counting(spark):
+    ids = sorted({(k * k * 7919) % 50_000_003 for k in range(3000)} | {-5, 2**40, 2**40 + 1})
+    df = spark.createDataFrame([(i,) for i in ids + ids[:50]], "id long")
+    for n in (1, 1500, len(ids)):
+        assert ar.nth_smallest(df, "id", n) == ids[n - 1]
+    assert ar.nth_smallest(df, "id", len(ids) + 1) is None and ar.nth_smallest(df, "id", 0) == -6
+    assert ar.nth_smallest(df.limit(0), "id", 3) is None and ar.nth_smallest(df.filter("id = -5"), "id", 1) == -5
+
+
+def test_replicas_are_compared_below_their_own_roots(spark):
+    """Both roots hold a folder named data; one file more, one fewer, two that were swapped inside a folder."""
+    kind = "data_file string, data_size_bytes long, data_sha256 string"
+    names = [f"data/{layer}/day={k % 3}/f{k}" for layer in ("bronze", "silver") for k in range(9)]
+    local = [(f"file:/data/a/{n}", 5, n) for n in names]
+    kept = [(f"s3a://data/b/data/{n}", 5, n) for n in names]
+    same = au.replica_check(spark.createDataFrame(local, kind), spark.createDataFrame(kept, kind), "file:///data/a/", "s3a://data/b/data")
+    assert sorted(map(tuple, same.collect())) == [(n, None) for n in sorted(names)]
+    swapped = [(f"s3a://data/b/data/{n}", 5, {names[0]: names[3], names[3]: names[0]}.get(n, n)) for n in names if n != names[8]]
+    found = au.replica_check(spark.createDataFrame(local, kind), spark.createDataFrame([*swapped, ("s3a://data/b/data/data/x", 1, "x")], kind), "/data/a", "s3a://data/b/data")
+    issues = {r["data_file"]: r["issue"] for r in found.collect() if r["issue"]}
+    assert issues == {names[0]: "content differs", names[3]: "content differs", names[8]: "missing in replica", "data/x": "unknown file in replica"}
+    assert found.count() == len(names) + 1

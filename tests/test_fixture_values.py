@@ -1,6 +1,7 @@
 """Small inputs with known results."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -161,10 +162,37 @@ def test_coverage_tree_is_preorder_and_cycles_are_reported(spark):
         [(1, None, "b"), (2, None, "a"), (3, 1, "z"), (4, 1, "y"), (5, 99, "c"), (6, 7, "q"), (7, 6, "r")], "id long, parent long, k string"
     )
     walked = hy.walk(p, "id", "parent", ["k", "id"])
-    assert [x["id"] for x in walked.orderBy("tree_path").collect()] == [2, 1, 4, 3, 5]
+    assert [x["id"] for x in walked.orderBy("tree_position").collect()] == [2, 1, 4, 3, 5]
     assert sorted(x["id"] for x in hy.unreachable(p, walked, "id").collect()) == [6, 7]
 
 
+def test_trees_of_any_shape_and_depth(spark, rows):
+    """A chain 120 deep, a bush and a cycle, in two scopes with the same ids, against a plain walk."""
+    rng = random.Random(3)
+    data = []
+    for run in ("r", "s"):
+        ids = rng.sample(range(10_000), 300)
+        for k, i in enumerate(ids):
+            parent = None if k in (0, 5) else ids[k - 1] if k < 120 else rng.choice(ids[:k])
+            data.append((run, i, parent, rng.choice("abc")))
+        data += [(run, 20_001, 20_002, "a"), (run, 20_002, 20_001, "a"), (run, 20_003, 20_001, "a"), (run, 20_004, 20_004, "b"), (run, 20_005, -1, "b")]
+    want = []
+    for run in ("r", "s"):
+        known = {i: (p, k) for r, i, p, k in data if r == run}
+        kids = {}
+        for i, (p, k) in known.items():
+            kids.setdefault(p if p in known else None, []).append((k, i))
+        stack, place = [(k, i, 0, i) for k, i in sorted(kids[None], reverse=True)], 0
+        while stack:
+            _, i, level, root = stack.pop()
+            place += 1
+            want.append((run, i, level, root, place))
+            stack += [(k, c, level + 1, root) for k, c in sorted(kids.get(i, []), reverse=True)]
+    df = spark.createDataFrame(data, "run string, id long, parent long, k string")
+    walked = hy.walk(df, "id", "parent", ["k", "id"], ["run"])
+    assert rows(walked, "run", "id", "tree_level", "root_id", "tree_position") == sorted(want, key=repr)
+
+
 def test_bisecting(spark, rows):
     w = spark.createDataFrame([(1, 0, 7), (2, 5, 6)], "id long, window_from long, window_to long")
     assert rows(cov.bisected(w), "id", "window_from", "window_to", "unresolved") == [(1, 0, 3, False), (1, 3, 7, False), (2, 5, 6, True)]
