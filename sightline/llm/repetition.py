@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -25,7 +28,13 @@ def repetition_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     own = Texts(texts)
     points = np.concatenate([[0], np.cumsum((own.data & 0xC0) != 0x80)])  # code points before each byte
     chars = points[own.end] - points[own.start]
-    value = own.hashes(own.start, own.end)
+    raw = own.data.tobytes()
+
+    def digests(start: np.ndarray, end: np.ndarray, seeds) -> np.ndarray:
+        """Hashes of whole words and lines. A polynomial modulo 2^64 would take some long strings of two letters for equal."""
+        return np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b], s) for a, b, s in zip(start.tolist(), end.tolist(), seeds)), np.uint64, len(start))
+
+    value = digests(own.start, own.end, repeat(0))
 
     def covered(n: int) -> np.ndarray:
         at, keys = own.grams(value, n)
@@ -42,7 +51,7 @@ def repetition_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     last = np.searchsorted(own.start, breaks)
     real = last > first
     line_start, line_end, line_doc, first, last = line_start[real], breaks[real], line_doc[real], first[real], last[real]
-    again = seen_before(own.hashes(line_start, line_end) ^ (line_doc.astype(np.uint64) << np.uint64(40)))
+    again = seen_before(digests(line_start, line_end, line_doc.tolist()))
     before = np.concatenate([[0], np.cumsum(chars)])
     out = {
         "n_words": own.words,

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sightline.llm import countmin, infill, phrases
+from sightline.llm import countmin, infill, phrases, repetition
 from tests.llm.test_operators import CLASHES, SCHEMA, by_id, docs, messy, nothing, prose  # noqa: F401
 
 MORE_CLASHES = ("n", "form", "infill", "rank", "phrase", "f", "bar", "data", "kind", "n_words", "cells")
@@ -194,3 +194,16 @@ def test_windows_need_integer_ids(spark, nothing):  # noqa: F811
     with pytest.raises(TypeError, match="integer"):
         countmin.remove_repeated_windows(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
     assert countmin.remove_repeated_windows(nothing).count() == 0
+
+
+# ---------------------------------------------------------------- 2 lines that cheat polynomials
+
+
+def test_lines_of_two_letters_stay_apart():
+    bits = [bin(k).count("1") % 2 for k in range(4096)]
+    one, other = ("".join(pair[b] for b in bits) for pair in ("ab", "ba"))
+    texts = ["\n".join([one, other, "x"]), "\n".join([one, one, other])]
+    counts = repetition.repetition_counts([t.encode() for t in texts])
+    assert counts["n_dup_lines"].tolist() == [0, 1]
+    words = repetition.repetition_counts([" ".join([one, "m", "n", other, "m", "n"]).encode()])
+    assert words["n_repeat_words"].tolist() == [0]
