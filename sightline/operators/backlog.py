@@ -95,8 +95,10 @@ def last_seen_in(states: DataFrame, run_id: str) -> DataFrame:
     return states.filter(F.col("last_seen_run_id") == run_id)
 
 
-def refetch_selection(candidates: DataFrame, limit: int) -> DataFrame:
-    """The most urgent candidates: by reason, latest sighting to the second, then id."""
+def refetch_selection(candidates: DataFrame, limit: int, run_id: str | None = None) -> DataFrame:
+    """The most urgent candidates, of one run if it is named: by reason, latest sighting to the second, then id."""
+    if run_id is not None:
+        candidates = last_seen_in(candidates, run_id)
     rank = F.lit(len(REASON_RANK))
     for reason, value in REASON_RANK.items():
         rank = F.when(F.col("reason") == reason, value).otherwise(rank)

@@ -81,7 +81,7 @@ order by case reason when 'first_seen' then 0 when 'short_changed' then 1 else 2
          date_trunc('second', last_seen_at) desc, vacancy_id limit 700""",
 )
 def refetch_top(spark, d):
-    return b.refetch_selection(b.last_seen_in(candidates(spark, d), RUN), 700).select("vacancy_id", "reason")
+    return b.refetch_selection(candidates(spark, d), 700, RUN).select("vacancy_id", "reason")
 
 
 @query(
