@@ -10,11 +10,13 @@ Layout below an archive root::
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -133,10 +135,25 @@ def data_path(root: str, spec: DatasetSpec, export_id: str) -> str:
     return f"{root}/data/{spec.layer}/{spec.name}/export_id={export_id}"
 
 
-def rows_within(df: DataFrame, rows_per_file: int, bytes_per_file: int) -> int:
-    """Row limit that also keeps files near a byte limit, from the mean size of the rows."""
-    mean = df.agg(F.avg(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0]
-    return rows_per_file if not mean else max(1, min(rows_per_file, int(bytes_per_file / mean)))
+def chunk_numbers(rows_per_file: int, bytes_per_file: int):
+    """Number of the file a row goes to, from (folder, size) of the rows of a task in order: a new one where the open file
+    would pass either limit. Only a single row that is larger than the limit makes a larger file."""
+
+    @F.pandas_udf("int")
+    def number(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        folder, rows, held, chunk = None, 0, 0, 0
+        for folders, sizes in batches:
+            out = []
+            for name, size in zip(folders, sizes):
+                if name != folder:
+                    folder, rows, held, chunk = name, 0, 0, 0
+                elif rows >= rows_per_file or held + size > bytes_per_file:
+                    rows, held, chunk = 0, 0, chunk + 1
+                rows, held = rows + 1, held + size
+                out.append(chunk)
+            yield pd.Series(out, dtype="int32")
+
+    return number.asNondeterministic()  # it depends on the order of the rows, so the sort below it has to stay
 
 
 def write_dataset(
@@ -146,14 +163,17 @@ def write_dataset(
     """Write the rows of one export and read them back with their file names.
 
     Rows are range-partitioned by (partition columns, id): a day holding a third of all rows is
-    spread over many tasks, and every file covers one narrow id range.
+    spread over many tasks, and every file covers one narrow id range. Files are cut where rows or bytes (of the
+    JSON lines, before compression) run full.
     """
-    rows_per_file = rows_within(df, rows_per_file, bytes_per_file)
     parts = partition_columns(spec, exported_at)
-    rows = enveloped(df, spec).withColumns(parts)
+    rows = enveloped(df, spec)
+    size = F.octet_length(F.to_json(F.struct(*rows.columns))) + 1
     path = data_path(root, spec, export_id)
-    placed = rows.repartitionByRange(*parts, spec.id_field).sortWithinPartitions(*parts, spec.id_field)
-    writer = placed.write.mode("overwrite").partitionBy(*parts).option("maxRecordsPerFile", rows_per_file)
+    sized = rows.withColumn("_size", size).withColumns(parts)
+    placed = sized.repartitionByRange(*parts, spec.id_field).sortWithinPartitions(*parts, spec.id_field)
+    cut = placed.withColumn("file_chunk", chunk_numbers(rows_per_file, bytes_per_file)(F.concat_ws("/", *parts), "_size")).drop("_size")
+    writer = cut.sortWithinPartitions(*parts, "file_chunk", spec.id_field).write.mode("overwrite").partitionBy(*parts, "file_chunk")
     if fmt == "json":
         writer.options(compression="gzip", **JSON_TIMES).json(path)
     else:
@@ -203,7 +223,7 @@ def manifests(
     )
     joined = stats.join(digests, "data_file", "left")
     relative = below(F.col("data_file"), root)
-    partition = F.regexp_extract("data_file", r"export_id=[^/]*/(.*)/[^/]*$", 1)
+    partition = F.regexp_extract("data_file", r"export_id=[^/]*/(.*)/file_chunk=[^/]*/[^/]*$", 1)
     chunk = F.coalesce(F.try_element_at(F.split(F.regexp_extract("data_file", r"part-(\d+)", 1), "x"), F.lit(1)), F.lit("0"))
     names = StructType.fromDDL(MANIFEST).fieldNames()
     return joined.withColumns(

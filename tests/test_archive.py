@@ -156,3 +156,14 @@ def test_replicas_are_compared_below_their_own_roots(spark):
     issues = {r["data_file"]: r["issue"] for r in found.collect() if r["issue"]}
     assert issues == {names[0]: "content differs", names[3]: "content differs", names[8]: "missing in replica", "data/x": "unknown file in replica"}
     assert found.count() == len(names) + 1
+
+
+def test_files_are_cut_by_bytes_and_rows(spark, root):
+    """Rows of very unequal size: no file passes either limit, but for one that is a single large row."""
+    text = F.repeat(F.lit("x"), F.when(F.col("seen_event_id") % 10 == 3, 900).when(F.col("seen_event_id") == 57, 5000).otherwise(20).cast("int"))
+    df = source(spark, 120).withColumn("note", text)
+    stored_rows = ar.write_dataset(df, root, SPEC, "e1", F.lit(LATE), 25, 3000).withColumn("size", F.octet_length(F.to_json(F.struct("archive_schema_version", "dataset", *df.columns))) + 1)
+    files = stored_rows.groupBy("data_file").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.max("size").alias("largest")).collect()
+    assert sum(f["n"] for f in files) == 120 and max(f["n"] for f in files) <= 25
+    assert all(f["size"] <= 3000 or f["n"] == 1 for f in files) and max(f["largest"] for f in files) > 5000
+    assert sum(f["n"] == 25 for f in files) + sum(f["size"] > 1900 for f in files) > 3
