@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from sightline.functions import json_ops as j
 from sightline.operators.hierarchy import with_root_flag
-from sightline.session import cut_lineage
 
 SATURATION_PAGES = 100
 FALLBACK_WINDOW_START = 946684800  # 2000-01-01T00:00:00Z
@@ -382,51 +381,65 @@ def partition_window(params: Column) -> Column:
     return F.coalesce(of("params"), of("scope"))
 
 
-def split_to_fixpoint(
-    density: DataFrame, roots: DataFrame, area: str, second: str, limit: int, max_depth: int = 64
-) -> DataFrame:
+def windows_of(second: Column, start: Column, end: Column) -> Column:
+    """The windows that ``second`` falls into when [start, end) is halved over and over, by depth from the root on.
+
+    The windows are (window_from, window_to); the last ones are single seconds and may repeat.
+    """
+
+    def halve(path: Column, _step: Column) -> Column:
+        last = F.element_at(path, -1)
+        middle = last["window_from"] + F.shiftright(last["window_to"] - last["window_from"], 1)
+        right = F.struct(middle.alias("window_from"), last["window_to"].alias("window_to"))
+        left = F.struct(last["window_from"].alias("window_from"), middle.alias("window_to"))
+        return F.concat(path, F.array(F.when(second >= middle, right).otherwise(left)))
+
+    # Halving as often as the width has binary digits leaves single seconds.
+    steps = F.sequence(F.lit(1), F.length(F.bin(end - start)).cast("int"))
+    return F.aggregate(steps, F.array(F.struct(start.alias("window_from"), end.alias("window_to"))), halve)
+
+
+def split_to_fixpoint(density: DataFrame, roots: DataFrame, area: str, second: str, limit: int) -> DataFrame:
     """Plan a whole tree from measured density: halve every window holding more than ``limit`` rows.
 
-    ``density`` has one row per observation (area, second). Observations are counted per second
-    first; then each level is one aggregate and one join on the window. Returns all windows
-    with their counts and what became of them.
+    ``density`` has one row per observation (area, second); ``roots`` are windows of an area that do not overlap.
+    Returns all windows with their counts and what became of them. A second names all windows it falls into, so
+    one aggregate counts each window and its right half, without a checkpoint; a window holds no more than the one around it, so the
+    windows reached are the roots and the halves of each window over the limit. A root without rows is covered,
+    rows outside all roots are left out.
     """
-    counts = density.groupBy(area, second).agg(F.count(F.lit(1)).alias("_n"))
-    cells = counts.join(roots.select(area, "window_from", "window_to"), area).filter(
-        (F.col(second) >= F.col("window_from")) & (F.col(second) < F.col("window_to"))
+    if limit < 0:
+        raise ValueError("limit must not be negative")
+    a, b = F.col("window_from").cast("long"), F.col("window_to").cast("long")
+    bounds = roots.select(area, a.alias("window_from"), b.alias("window_to"))
+    # Seconds are counted first: a crowded second names its windows once, and small files are spread.
+    counts = density.select(area, F.col(second).cast("long").alias("_s")).groupBy(area, "_s").agg(F.count(F.lit(1)).alias("_n"))
+    inside = counts.join(bounds, area)
+    inside = inside.filter((F.col("_s") >= F.col("window_from")) & (F.col("_s") < F.col("window_to")))
+    path = F.posexplode(windows_of(F.col("_s"), F.col("window_from"), F.col("window_to"))).alias("depth", "_w")
+    seen = inside.select(area, "_s", "_n", path).filter(f"depth = 0 or _w.window_to - _w.window_from >= {MIN_SPLIT_SECONDS}")
+    empty = bounds.select(area, F.lit(None).cast("long").alias("_s"), F.lit(0).cast("long").alias("_n"), F.lit(0).alias("depth"), F.struct("window_from", "window_to").alias("_w"))
+    at = seen.unionByName(empty).select(area, "_s", "_n", "depth", "_w.*")
+    middle = F.expr("window_from + (window_to - window_from) div 2")
+    held = at.groupBy(area, "window_from", "window_to", "depth").agg(
+        F.sum("_n").alias("row_count"), F.sum(F.when(F.col("_s") >= middle, F.col("_n")).otherwise(0)).alias("_right")
+    )
+    heavy = F.col("row_count") > limit
+    tiny = (F.col("window_to") - F.col("window_from")) < MIN_SPLIT_SECONDS
+
+    def row(start: Column, end: Column, depth: Column, n: Column) -> Column:
+        return F.struct(start.alias("window_from"), end.alias("window_to"), depth.alias("depth"), n.alias("row_count"))
+
+    own = F.array(row(F.col("window_from"), F.col("window_to"), F.col("depth"), F.col("row_count")))
+    deeper = F.col("depth") + 1
+    halves = F.array(
+        row(F.col("window_from"), middle, deeper, F.col("row_count") - F.col("_right")),
+        row(middle, F.col("window_to"), deeper, F.col("_right")),
     )
-    key = [area, "window_from", "window_to"]
-    frontier = cut_lineage(roots.select(*key, F.lit(0).alias("depth")))
-    cells = cut_lineage(cells)
-    done = []
-    for _ in range(max_depth):
-        if frontier.isEmpty():
-            break
-        sizes = cells.groupBy(*key).agg(F.sum("_n").alias("row_count"))
-        judged = frontier.join(sizes, key, "left").na.fill(0, ["row_count"])
-        heavy = F.col("row_count") > limit
-        tiny = (F.col("window_to") - F.col("window_from")) < MIN_SPLIT_SECONDS
-        state = F.when(~heavy, "covered").when(tiny, "unresolved").otherwise("split")
-        judged = cut_lineage(judged.withColumn("status", state))
-        done.append(judged)
-        open_ = judged.filter("status = 'split'").select(*key, "depth")
-        frontier = cut_lineage(bisected(open_).drop("unresolved").withColumn("depth", F.col("depth") + 1))
-        middle = F.col("window_from") + F.expr("(window_to - window_from) div 2")
-        right = F.col(second) >= F.col("_m")
-        kept = cells.join(open_.select(*key), key).withColumn("_m", middle)
-        cells = cut_lineage(
-            kept.select(
-                area, second, "_n",
-                F.when(right, F.col("_m")).otherwise(F.col("window_from")).alias("window_from"),
-                F.when(right, F.col("window_to")).otherwise(F.col("_m")).alias("window_to"),
-            )
-        )
-    else:
-        raise ValueError(f"windows still too dense after {max_depth} levels")
-    out = done[0]
-    for level in done[1:]:
-        out = out.unionByName(level)
-    return out
+    none = F.filter(own, lambda _w: F.lit(False))
+    reached = F.concat(F.when(F.col("depth") == 0, own).otherwise(none), F.when(heavy & ~tiny, halves).otherwise(none))
+    state = F.when(~heavy, "covered").when(tiny, "unresolved").otherwise("split")
+    return held.select(area, F.explode(reached).alias("_w")).select(area, "_w.*").withColumn("status", state)
 
 
 # Trailing windows in hours.

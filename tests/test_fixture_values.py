@@ -208,6 +208,31 @@ def test_fixpoint_ends_on_one_hot_second(spark, rows):
     assert sum(x[1] - x[0] for x in leaves) == 8
 
 
+def test_fixpoint_equals_halving_step_by_step(spark, rows):
+    rng = random.Random(4)
+    roots = [("a", 0, 1000), ("a", 1000, 1003), ("b", -7, 90), ("c", 5, 6), ("d", 0, 64), (None, 0, 9)]
+    cells = [(rng.choice("abce"), int(rng.gauss(40, 30)), None) for _ in range(600)] + [("a", 1001, None)] * 50 + [("c", 5, None)] * 12 + [("a", None, None), (None, 3, None)]
+    want = []
+    for area, a, b in roots:
+        seconds = [s for x, s, _ in cells if x == area and area is not None and s is not None and a <= s < b]
+        open_ = [(a, b, 0, seconds)]
+        while open_:
+            f, t, depth, held = open_.pop()
+            state = "covered" if len(held) <= 10 else "unresolved" if t - f < 2 else "split"
+            want.append((area, f, t, depth, len(held), state))
+            if state == "split":
+                m = f + (t - f) // 2
+                open_ += [(f, m, depth + 1, [s for s in held if s < m]), (m, t, depth + 1, [s for s in held if s >= m])]
+    density = spark.createDataFrame(cells, "area string, s long, window_from string")
+    out = cov.split_to_fixpoint(density, spark.createDataFrame(roots, "area string, window_from long, window_to long"), "area", "s", 10)
+    assert rows(out, "area", "window_from", "window_to", "depth", "row_count", "status") == sorted(want, key=repr)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Checkpoint" not in plan and "ExistingRDD[" not in plan.replace("Scan ExistingRDD[area", "")
+    wide = spark.createDataFrame([("w", (1 << 62) - 5)] * 3, "area string, s long")
+    deep = cov.split_to_fixpoint(wide, spark.createDataFrame([("w", 0, 1 << 62)], "area string, window_from long, window_to long"), "area", "s", 2)
+    assert rows(deep.filter("status = 'unresolved'"), "window_from", "row_count", "depth") == [((1 << 62) - 5, 3, 62)]
+
+
 def test_search_and_detail_study(spark, rows):
     search = n.leaf_values(spark.createDataFrame([(1, '{"id":"1","name":"A"}')], "id long, b string"), ["id"], "b")
     body = '{"id":"1","name":"A","description":"d","key_skills":[{"name":"x"}]}'
