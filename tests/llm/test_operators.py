@@ -439,6 +439,38 @@ def test_a_group_of_a_third_spreads_evenly(spark):
     assert (pairs[pairs["size"] > 1]["nunique"] == 1).mean() > 0.9
 
 
+@pytest.mark.parametrize("size", [2, 10])
+def test_groups_keep_together_in_full_shards(spark, size):
+    df = spark.range(4800).selectExpr("id AS doc_id", f"concat('group ', id % {4800 // size}) AS text")
+    got = sharding.balanced_shards(df, 24).join(df, "doc_id").toPandas()
+    assert got.groupby("shard").size().tolist() == [200] * 24
+    assert got.groupby(["text", "shard"]).size().groupby("text").max().sum() > 0.95 * 4800
+
+
+def test_cut_links_never_grow_and_full_shards_swap(spark):
+    """All shards are full from the start and each group is scattered: only swaps can gather it."""
+    now = spark.range(2400).selectExpr("id", "pmod(xxhash64(id), 400) AS hub", "cast(id % 8 AS int) AS label").cache()
+
+    def state(df):
+        held = df.groupBy("hub", "label").count().toPandas()
+        return sum(n * n for n in held["count"]), held.groupby("label")["count"].sum().max()
+
+    kept, _ = first = state(now)
+    for _ in range(4):
+        now = sharding.propagated(now, 300, 1)
+        after, fullest = state(now)
+        assert after >= kept and fullest < 400
+        kept = after
+    assert kept > 1.5 * first[0]
+
+
+def test_grants_swap_what_is_asked_both_ways(spark):
+    asked = spark.createDataFrame([(0, 0, 90), (0, 1, 10), (1, 0, 4), (1, 1, 93), (2, 0, 5)], "label int, wanted int, n long")
+    got = {(r["label"], r["wanted"]): r["share"] for r in sharding.grants(asked, 100).collect()}
+    assert got[0, 1] == pytest.approx((4 + 6 * 0.5) / 10) and got[1, 0] == 1 and got[2, 0] == 0
+    assert sharding.grants(asked.limit(0), 100).count() == 0
+
+
 # ---------------------------------------------------------------- 10 token files
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
