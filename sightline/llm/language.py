@@ -12,14 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from sightline.llm.common import ready
 
 TRAIN_DOCUMENTS = 4_000  # documents a model is fitted on, at most
-MODEL_WORDS = 60_000  # words a model knows, at most, the most frequent of the fitted documents
+LANGUAGE_WORDS = 30_000  # words of the fitted documents that a model knows for each language, at most, the most frequent
 LONGEST = 5
 UNKNOWN = "und"
 _RUNS = re.compile(r"[^\W\d_]+").findall
@@ -105,10 +105,11 @@ class Model:
         return self.languages[best], float(odds[best] / odds.sum())
 
 
-def train(documents: DataFrame, lang_col: str = "lang", text_col: str = "text", most_words: int = MODEL_WORDS) -> Model:
+def train(documents: DataFrame, lang_col: str = "lang", text_col: str = "text", most_words: int = LANGUAGE_WORDS) -> Model:
     """A model from the given documents, whose number the caller bounds; null texts or languages are left out.
 
-    Words are counted in the tasks and summed by Spark; only the most frequent come to the driver.
+    Words are counted in the tasks and summed by Spark; the ``most_words`` most frequent of each language come to the driver,
+    ties in the order of words, so a rare language keeps its words beside a common one. A kept word comes with its counts in all languages.
     """
     ready(documents.sparkSession)
 
@@ -123,7 +124,9 @@ def train(documents: DataFrame, lang_col: str = "lang", text_col: str = "text",
 
     known = documents.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     counts = known.mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    kept = counts.orderBy(F.desc("n"), "word", "lang").limit(most_words).collect()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    frequent = counts.withColumn("place", place).where(F.col("place") <= most_words).select("word").distinct()
+    kept = counts.join(frequent, "word", "left_semi").orderBy("word", "lang").collect()
     return Model([(r["lang"], r["word"], r["n"]) for r in kept])
 
 

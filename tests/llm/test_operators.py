@@ -337,6 +337,26 @@ def test_language_of_given_documents(spark):
     assert found.where("lang = language.lang_pred").count() / found.count() > 0.95
 
 
+def test_a_rare_language_keeps_its_words(spark):
+    rng = random.Random(9)
+
+    def text(alphabet, seed, words):
+        vocabulary = ["".join(random.Random(seed + k).choices(alphabet, k=6)) for k in range(400)]
+        return " ".join([*rng.choices(vocabulary, k=words), *["shared"] * 3])
+
+    rows = [("common", text("abcdefgh", 0, 300)) for _ in range(297)] + [("rare", text("efghijkl", 1000, 300)) for _ in range(3)]
+    train = spark.createDataFrame(rows, "lang string, text string")
+    model = language.train(train, most_words=100)
+    seen = {lang: Counter(w for x, t in rows if x == lang for w in t.split()) for lang in ("common", "rare")}
+    best = {w for c in seen.values() for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:100]}
+    assert {w for w in model.row if w.isalpha()} == best and len(best) == 199
+    weights = model.weights[model.row["shared"]]  # counted in full on both sides
+    total = [sum(c[w] for w in best) for c in (seen["common"], seen["rare"])]
+    assert weights == pytest.approx([np.log((n + 0.5) / (t + 0.5 * 199)) for n, t in zip((297 * 3, 9), total)])
+    held = spark.createDataFrame([("common", text("abcdefgh", 0, 40)) for _ in range(20)] + [("rare", text("efghijkl", 1000, 40)) for _ in range(20)], train.schema)
+    assert language.predict_languages(held, model).where("lang <> language.lang_pred").count() == 0
+
+
 def test_backoff_takes_the_longest_known_grams():
     model = language.Model([("a", "abcdefg", 5), ("b", "vwxyz", 5)])
     assert len(model.rows_of("abcdefg")) == 1
