@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sightline.operators.latest import latest_per_key
+from sightline.operators.latest import latest_per_key, latest_value
 from sightline.operators.segments import with_lag, with_ordered, with_running
 
 FETCH_CLOSED = ("succeeded", "terminal_404")
@@ -131,7 +131,7 @@ def repair_backlog(attempts: DataFrame, run: str = "crawl_run_id", key: str = "v
 
 def next_attempt_numbers(attempts: DataFrame, keys: DataFrame, key: str = "vacancy_id") -> DataFrame:
     """Attempt number to use next for each requested key; 1 if it was never tried."""
-    latest = attempts.groupBy(key).agg(F.max_by("attempt", F.struct("requested_at", "id")).alias("_last"))
+    latest = attempts.groupBy(key).agg(latest_value(attempts, "attempt", ["requested_at", "id"]).alias("_last"))
     return keys.join(latest, key, "left").select(
         key, (F.coalesce("_last", F.lit(0)) + 1).cast("int").alias("next_attempt")
     )

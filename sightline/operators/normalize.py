@@ -20,7 +20,16 @@ def page_error(page: Column) -> Column:
 def bad_pages(pages: DataFrame, body: str = "payload_json") -> DataFrame:
     """The pages that give no items at all because they are damaged, with ``_error``."""
     parsed = pages.withColumn("_page", j.parse(body))
-    return parsed.withColumn("_error", page_error(F.col("_page"))).filter("_error is not null").drop("_page")
+    return _only(parsed.withColumn("_why", page_error(F.col("_page"))), "_why", "_error").drop("_page", "_why")
+
+
+def _only(df: DataFrame, column: str, output: str) -> DataFrame:
+    """Rows whose ``column`` is not null, as ``output``.
+
+    A plain filter is pushed below the projections, so that the optimizer writes the parse of a document into it once for
+    each use and runs it before the rows are spread. It does not pass a generator.
+    """
+    return df.withColumn(output, F.explode_outer(F.array(column))).filter(F.col(output).isNotNull())
 
 
 def page_items(pages: DataFrame, body: str = "payload_json") -> DataFrame:
@@ -28,11 +37,13 @@ def page_items(pages: DataFrame, body: str = "payload_json") -> DataFrame:
     v = F.col("_page")
     items = F.try_variant_get(v, "$.items", "array<variant>")
     page = F.coalesce(j.optional_int(v, "$.page"), F.lit(0))
-    parsed = spread(pages).withColumn("_page", j.parse(body)).filter(page_error(v).isNull()).withColumn("_items", items)
+    # No filter on the error: it would be pushed down with a parse of the page for each of its uses.
+    parsed = spread(pages).withColumn("_page", j.parse(body)).withColumn("_items", F.when(page_error(v).isNull(), items))
     per_page = F.coalesce(F.nullif(j.optional_int(v, "$.per_page"), F.lit(0)), F.size("_items"))
     return (
         parsed.withColumn("_base", page * F.greatest(per_page, F.lit(1)))
-        .select(*pages.columns, "_base", F.posexplode("_items").alias("_i", "item"))
+        .select(*pages.columns, "_base", F.posexplode_outer("_items").alias("_i", "item"))
+        .filter("_i is not null")
         .withColumn("list_position", (F.col("_base") + F.col("_i")).cast("long"))
         .drop("_base", "_i")
     )
@@ -273,8 +284,8 @@ def leaf_values(docs: DataFrame, doc_id: list[str], body: str) -> DataFrame:
     def leaf(x: Column) -> Column:
         return (x["path"] != "") & members_of(x).isNull() & elements_of(x).isNull()
 
-    parsed = spread(docs.select(*doc_id, body)).withColumn("_v", j.parse(body)).filter("_v is not null")
-    root = F.array(F.struct(F.lit("").alias("path"), F.col("_v").alias("v")))
+    parsed = spread(docs.select(*doc_id, body)).withColumn("_v", j.parse(body))
+    root = F.when(F.col("_v").isNotNull(), F.array(F.struct(F.lit("").alias("path"), F.col("_v").alias("v"))))
     flat = parsed.select(*doc_id, F.inline(_grown(root, _brackets(body), node, kids, leaf)))
     leaves = flat.select(*doc_id, "path", F.to_json("v").alias("value"))
     return leaves.groupBy(*doc_id, "path").agg(F.array_sort(F.collect_set("value")).alias("leaf_values"))
