@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from sightline.llm.common import ready
+from sightline.llm.common import ready, unused_name
 
 # Bytes that belong to no word: all of ASCII but digits and letters. Text is lower-cased before.
 _BLANK = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -201,7 +201,7 @@ def benchmark_hits(
     rest, the text without its hit spans.
     """
     spark = ready(df.sparkSession)
-    held = "_hits_so_far"
+    held = unused_name(df, "_hits_so_far")
     kind = StructType([*RESULT.fields, StructField("rest", StringType())]) if rest else RESULT
     out = df
     blocks = 0

@@ -37,12 +37,21 @@ def wide(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (Spark compares without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the undirected ``edges`` (a, b), root being its smallest node.
 
     Alternating large-star and small-star: every round hangs neighbours on the smallest one seen, so
     the rounds grow with the logarithm of the longest path. A node with very many neighbours is
-    only ever aggregated (min) and joined, never listed. Empty edges give an empty frame.
+    only ever aggregated (min) and joined, never listed. Empty edges give an empty frame. ``max_rounds`` drops
+    nothing: components that have not settled by then raise an error.
     """
     ready(edges.sparkSession)
     current = cut_lineage(edges.where("a <> b").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct())

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from sightline.llm.common import connected_components, cut_lineage, ready
+from sightline.llm.common import connected_components, cut_lineage, ready, unused_name
 
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # (shift, bits), together 64 bits
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, fixed value of the code
@@ -254,6 +254,7 @@ def keep_one(
     from sightline.llm.resemblance import similar_links, with_sketch
 
     ready(df.sparkSession)
+    key = unused_name(df, "_row")
     row = F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
     rows = df.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     if similarity is None:
@@ -269,8 +270,8 @@ def keep_one(
         links = similar_links(sketched, rows, words, similarity)
     roots = connected_components(links)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    stay = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("_row"))
-    return df.withColumn("_row", row).join(stay, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    stay = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias(key))
+    return df.withColumn(key, row).join(stay, key, "left_semi").dropDuplicates([key]).drop(key)
 
 
 def hex_digits(column: str) -> F.Column:

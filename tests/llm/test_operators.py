@@ -538,3 +538,17 @@ def test_pairs_are_named_until_none_is_frequent():
     for part in (seq, repair.compress(rng.integers(2, 40, 20_000).astype(np.uint32))[0]):
         pairs = Counter((a, b) for a, b in zip(part.tolist(), part[1:].tolist()) if 1 not in (a, b))
         assert max(pairs.values()) < repair.LEAST
+
+
+def test_columns_named_like_helper_columns_are_kept(spark):
+    """Neither a row key nor the hits of earlier blocks may take the place of a column of the caller."""
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "x y z")], "doc_id long, text string")
+    docs = docs.withColumn("_row", F.lit("mine")).withColumn("_HITS_so_far", F.lit("own"))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "a b c d e f g", "mine", "own"), (3, "x y z", "mine", "own")]
+    items = spark.createDataFrame([("i", "a b c"), ("j", "y z")], "item_id string, text string")
+    hits = automaton.benchmark_hits(docs, items, window=2, block_bytes=4)
+    assert hits.columns == [*docs.columns, "hits"]
+    assert sorted((r["doc_id"], r["_row"], r["_HITS_so_far"], *r["hits"]["items"]) for r in hits.collect()) == [
+        (1, "mine", "own", "i"), (2, "mine", "own", "i"), (3, "mine", "own", "j")]
