@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.session import prepare
+from sightline.session import fine_splits, prepare
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return fine_splits(prepare(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def entity_id():

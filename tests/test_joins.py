@@ -1,10 +1,10 @@
-"""Which joins are broadcast is decided by the bytes found, not by an estimate of a small file."""
+"""Joins are broadcast by the bytes found, not by an estimate of a small file; tasks grow in number, not in size."""
 
 from pyspark.sql import functions as F
 
 from sightline.operators.backfill import with_payload
 from sightline.plans.bindings import table
-from sightline.session import prepare, scratch_path
+from sightline.session import SPREAD_BYTES, prepare, scratch_path, spread
 
 
 def broadcasts(df):
@@ -37,3 +37,11 @@ def test_the_threshold_of_the_session_holds(spark):
     off = spark.newSession()
     off.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert prepare(off).conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+
+
+def test_tasks_grow_in_number_with_the_input(spark):
+    root = scratch_path(spark, "t-splits")
+    spark.range(4_000_000).select(F.xxhash64("id").alias("k")).repartition(1).write.option("parquet.block.size", 1 << 20).parquet(f"{root}/orders.parquet")
+    read = table(spark, root, "orders")  # 32 MB in one file
+    assert read.rdd.getNumPartitions() >= 8
+    assert spread(read).rdd.getNumPartitions() >= 30 * (1 << 20) // SPREAD_BYTES
