@@ -136,8 +136,9 @@ def data_path(root: str, spec: DatasetSpec, export_id: str) -> str:
 
 
 def chunk_numbers(rows_per_file: int, bytes_per_file: int):
-    """Number of the file a row goes to, from (folder, size) of the rows of a task in order: a new one where the open file
-    would pass either limit. Only a single row that is larger than the limit makes a larger file."""
+    """Number of the folder a row goes to, from (folder, size) of the rows of a task in order: a new one where the open file
+    would pass the bytes. Files of a folder follow each other after ``rows_per_file`` rows, as the writer cuts them, so folders
+    do not grow in number with the rows. Only a single row that is larger than the limit makes a larger file."""
 
     @F.pandas_udf("int")
     def number(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -147,7 +148,9 @@ def chunk_numbers(rows_per_file: int, bytes_per_file: int):
             for name, size in zip(folders, sizes):
                 if name != folder:
                     folder, rows, held, chunk = name, 0, 0, 0
-                elif rows >= rows_per_file or held + size > bytes_per_file:
+                elif rows >= rows_per_file:
+                    rows, held = 0, 0
+                elif held + size > bytes_per_file:
                     rows, held, chunk = 0, 0, chunk + 1
                 rows, held = rows + 1, held + size
                 out.append(chunk)
@@ -163,8 +166,8 @@ def write_dataset(
     """Write the rows of one export and read them back with their file names.
 
     Rows are range-partitioned by (partition columns, id): a day holding a third of all rows is
-    spread over many tasks, and every file covers one narrow id range. Files are cut where rows or bytes (of the
-    JSON lines, before compression) run full.
+    spread over many tasks, and every file covers one narrow id range. Files are cut where rows (by the writer) or bytes (of
+    the JSON lines, before compression; a new folder ``file_chunk``) run full.
     """
     parts = partition_columns(spec, exported_at)
     rows = enveloped(df, spec)
@@ -173,7 +176,7 @@ def write_dataset(
     sized = rows.withColumn("_size", size).withColumns(parts)
     placed = sized.repartitionByRange(*parts, spec.id_field).sortWithinPartitions(*parts, spec.id_field)
     cut = placed.withColumn("file_chunk", chunk_numbers(rows_per_file, bytes_per_file)(F.concat_ws("/", *parts), "_size")).drop("_size")
-    writer = cut.sortWithinPartitions(*parts, "file_chunk", spec.id_field).write.mode("overwrite").partitionBy(*parts, "file_chunk")
+    writer = cut.sortWithinPartitions(*parts, "file_chunk", spec.id_field).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(*parts, "file_chunk")
     if fmt == "json":
         writer.options(compression="gzip", **JSON_TIMES).json(path)
     else:

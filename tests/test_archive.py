@@ -167,3 +167,27 @@ def test_files_are_cut_by_bytes_and_rows(spark, root):
     assert sum(f["n"] for f in files) == 120 and max(f["n"] for f in files) <= 25
     assert all(f["size"] <= 3000 or f["n"] == 1 for f in files) and max(f["largest"] for f in files) > 5000
     assert sum(f["n"] == 25 for f in files) + sum(f["size"] > 1900 for f in files) > 3
+
+
+def test_small_files_share_tasks_and_folders(spark, root):
+    """A file for every 10 rows: neither a folder nor a task for each."""
+    from sightline.session import fine_splits
+
+    df = source(spark, 60).withColumn("seen_at", F.lit(START).cast("timestamp_ntz"))
+    before = {k: spark.conf.get(f"spark.sql.files.{k}") for k in ("maxPartitionBytes", "openCostInBytes")}
+    try:
+        fine_splits(spark)
+        stored_rows = ar.write_dataset(df.coalesce(1), root, SPEC, "e1", F.lit(LATE), 10)
+        files = stored_rows.groupBy("data_file").agg(F.count("*").alias("n"), F.min("seen_event_id").alias("low"), F.max("seen_event_id").alias("high")).collect()
+        digests = ar.file_digests(spark, root)
+        assert sum(f["n"] for f in files) == 60 and max(f["n"] for f in files) <= 10 and len(files) >= 6
+        assert all(f["high"] - f["low"] == f["n"] - 1 for f in files)
+        assert {f["data_file"].split("/")[-2] for f in files} == {"file_chunk=0"}
+        parallel = spark.sparkContext.defaultParallelism
+        many = spark.range(40 * parallel).repartition(40 * parallel).select(F.lit(0).alias("x"))
+        many.write.json(f"{root}/many")
+        assert spark.read.schema("x int").json(f"{root}/many").rdd.getNumPartitions() <= 4 * parallel
+        assert digests.count() == len(files)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(f"spark.sql.files.{key}", value)
