@@ -210,30 +210,34 @@ def detail_records(payloads: DataFrame, body: str = "payload_json") -> DataFrame
         j.variant_hash(v).alias("detail_hash"),
         _record_error(texts, DETAIL_TIMES).alias("_error"),
     )
+    return out.withColumn("normalized_json", _normalized_json()).withColumn("normalized_hash", F.sha2("normalized_json", 256))
+
+
+def _normalized_json() -> Column:
+    """Canonical JSON of the normalised document of ``detail_records``.
+
+    Members are written in the order of their names, so the text need not be parsed and written again to sort them: writing a
+    VARIANT sets up a JSON factory for each of its keys and texts. Free objects come from a VARIANT and are canonical.
+    """
     iso = "yyyy-MM-dd'T'HH:mm:ssXXX"
-    document = F.struct(
-        "hh_vacancy_id",
-        "name_current",
-        "description",
-        "branded_description",
-        "alternate_url",
-        "archived",
-        "area",
-        "employer",
-        "employment_type_code",
-        "schedule_type_code",
-        "experience_code",
-        "professional_role_hh_ids",
-        "key_skill_names",
-        F.parse_json("salary").alias("salary"),
-        F.parse_json("salary_range").alias("salary_range"),
-        F.date_format("published_at", iso).alias("published_at"),
-        F.date_format("created_at_hh", iso).alias("created_at_hh"),
-    )
-    text = F.to_json(document, {"ignoreNullFields": "false"})
-    return out.withColumn("normalized_json", j.canonical_json(text)).withColumn(
-        "normalized_hash", F.sha2("normalized_json", 256)
-    )
+
+    def in_order(name: str, *members: str) -> Column:
+        return F.when(F.col(name).isNotNull(), F.struct(*[F.col(name)[m].alias(m) for m in sorted(members)]))
+
+    members = {
+        **{
+            name: F.col(name)
+            for name in (
+                "hh_vacancy_id", "name_current", "description", "branded_description", "alternate_url", "archived", "employment_type_code",
+                "schedule_type_code", "experience_code", "professional_role_hh_ids", "key_skill_names",
+            )
+        },
+        "area": in_order("area", "id", "name"),
+        "employer": in_order("employer", "hh_employer_id", "name", "alternate_url", "site_url", "area_hh_id", "is_trusted"),
+        **{name: F.parse_json(name) for name in ("salary", "salary_range")},
+        **{name: F.date_format(name, iso) for name in ("published_at", "created_at_hh")},
+    }
+    return F.to_json(F.struct(*[members[name].alias(name) for name in sorted(members)]), {"ignoreNullFields": "false"})
 
 
 def split_quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,10 @@
 
 import json
 
-from sightline.operators.normalize import leaf_values, tree_nodes
+from pyspark.sql import functions as F
+
+from sightline.functions import json_ops as j
+from sightline.operators.normalize import detail_records, leaf_values, tree_nodes
 
 
 def nested(depth):
@@ -34,3 +37,23 @@ def test_deep_area_trees(spark):
         area = {"id": f"n{k}", "name": f"n{k}", "areas": [area]}
     got = tree_nodes(spark.createDataFrame([(1, json.dumps([area]))], "id int, body string"), ["id"], "body").collect()
     assert len(got) == 121 and max(r["level"] for r in got) == 120
+
+
+def test_normalised_documents_are_canonical_as_written(spark):
+    """Equal to their text parsed and written again, on odd texts and numbers, without doing so for each row."""
+    odd = 'a"\\\n\t\u0001/<é \U0001f600'
+    docs = [
+        {"id": "1", "name": odd, "salary": {"to": 1.50, "from": 1.5e3, "b": {"z": -0.0, "a": [1e30, 12345678901234567890123, odd]}}, "archived": True},
+        {"id": " 2 ", "name": "n", "area": {"name": odd, "id": "5"}, "employer": {"trusted": False, "name": "e", "id": "7", "area": {"id": "3"}}, "key_skills": [{"name": odd}, {"name": " "}]},
+        {"id": "3", "name": "n", "area": {}, "employer": {"id": " "}, "salary": {}, "salary_range": {"": None}, "created_at": "2024-01-02T03:04:05+0300"},
+        {"id": 4}, {}, [],
+    ]
+    rows = [(k, json.dumps(d, ensure_ascii=bool(k % 2))) for k, d in enumerate(docs)] + [(10, "no json"), (11, None), (12, '{"id":"1","salary":{"x":1e5,"y":-0e0,"z":1.23456789e7}}')]
+    out = detail_records(spark.createDataFrame(rows, "k int, payload_json string"))
+    found = out.select("k", "normalized_json", j.canonical_json(F.col("normalized_json")).alias("again"), F.sha2("normalized_json", 256).alias("sha"), "normalized_hash").collect()
+    assert len(found) == len(rows) and all(r["normalized_json"] == r["again"] and r["sha"] == r["normalized_hash"] for r in found)
+    by_key = {r["k"]: json.loads(r["normalized_json"]) for r in found}
+    assert by_key[0]["name_current"] == odd and by_key[0]["salary"]["b"]["a"][2] == odd and by_key[1]["area"] == {"id": "5", "name": odd}
+    assert by_key[1]["employer"]["area_hh_id"] == "3" and by_key[2]["employer"] is None and by_key[2]["area"] == {"id": None, "name": None} and by_key[2]["salary_range"] == {"": None}
+    plan = out.select("normalized_json")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("\n+- ")[0].count("StructsToJsonEvaluator") == 1
