@@ -29,13 +29,14 @@ def _doubled(nodes: DataFrame, sums: list[str], up_sum: str | None, most: int) -
         above = state.select(
             F.col("node").alias("jump"), F.col("jump").alias("_jump"), F.col("top").alias("_top"), *[F.col(c).alias(f"_{c}") for c in sums]
         )
-        further = state.join(above, "jump", "left")
         moved = {"jump": F.col("_jump"), "top": F.coalesce("_top", "top"), **{c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in sums}}
+        # Nodes that are done have no pointer to join by; as nulls of a left join they would all meet in one task.
+        going = state.where("jump IS NOT NULL").join(above, "jump", "left").select(*[moved.get(c, F.col(c)).alias(c) for c in state.columns])
+        further = going.union(state.where("jump IS NULL"))
         if up_sum:
             below = state.where("jump IS NOT NULL").groupBy(F.col("jump").alias("node")).agg(F.sum(up_sum).alias("_below"))
-            further = further.join(below, "node", "left")
-            moved[up_sum] = F.col(up_sum) + F.coalesce("_below", F.lit(0))
-        state = cut_lineage(further.select(*[moved[c].alias(c) if c in moved else F.col(c) for c in state.columns]))
+            further = further.join(below, "node", "left").withColumn(up_sum, F.col(up_sum) + F.coalesce("_below", F.lit(0)))
+        state = cut_lineage(further.select(*state.columns))
         reach *= 2
     return state
 

@@ -269,3 +269,21 @@ def test_held_for_needs_consecutive_windows(spark, rows):
     at = [ts("2026-01-01 00:00:00") + dt.timedelta(minutes=5 * i) for i in (0, 1, 2, 5, 6)]
     df = spark.createDataFrame([("a", x) for x in at], "s string, at timestamp_ntz")
     assert [x[0] for x in rows(rl.held_for(df, ["s"], "at", 300, 900), "held_seconds")] == [900]
+
+
+def test_finished_tree_nodes_do_not_meet_in_one_task(spark):
+    """Roots have no pointer to join by; they stay where they are."""
+    names = {"spark.sql.shuffle.partitions": "4", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for key, value in names.items():
+            spark.conf.set(key, value)
+        parent = F.when(F.col("id") % 10 == 0, F.struct((F.col("id") + 1).alias("id")))
+        nodes = spark.range(4000).repartition(4).select(F.struct("id").alias("node"), parent.alias("jump"), F.lit(1).alias("levels"))
+        done = hy._doubled(nodes, ["levels"], None, 4000)
+        held = [r["count"] for r in done.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == 4000 and max(held) < 2000
+        assert done.agg(F.sum("levels")).first()[0] == 4400
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
