@@ -540,6 +540,27 @@ def test_pairs_are_named_until_none_is_frequent():
         assert max(pairs.values()) < repair.LEAST
 
 
+def test_rounds_count_what_may_be_frequent_and_not_the_whole_sequence(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = (rng.zipf(1.2, 60_000) % 5_000 + 2).astype(np.uint32)
+    whole, counted = repair.frequent_pairs, []
+
+    def noted(keys):
+        pairs, counts, number = whole(keys)
+        plain = Counter(keys.tolist())
+        assert dict(zip(pairs.tolist(), counts.tolist())) == {k: n for k, n in plain.items() if n >= repair.LEAST}
+        assert all((pairs[i] == k if i >= 0 else plain[k] < repair.LEAST) for k, i in zip(keys, number))
+        counted.append(len(keys))
+        return pairs, counts, number
+
+    monkeypatch.setattr(repair, "frequent_pairs", noted)
+    seq, rules, first = repair.compress(ids)
+    assert (repair.expand(seq, rules, first) == ids).all()
+    pairs = Counter(zip(seq[:-1].tolist(), seq[1:].tolist()))
+    assert len(counted) > 3 and max(pairs.values()) < repair.LEAST
+    assert sum(counted[1:]) < len(ids) < (len(counted) - 1) * len(seq)
+
+
 def test_columns_named_like_helper_columns_are_kept(spark):
     """Neither a row key nor the hits of earlier blocks may take the place of a column of the caller."""
     docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "x y z")], "doc_id long, text string")
