@@ -491,6 +491,27 @@ def test_grants_swap_what_is_asked_both_ways(spark):
     assert sharding.grants(asked.limit(0), 100).count() == 0
 
 
+@pytest.mark.parametrize("size", [2, 10])
+def test_groups_start_scattered_and_propagation_gathers_them(spark, size):
+    """Every document starts on a label of its own, so what is together in the end was brought together by the rounds."""
+    linked = spark.range(4800).selectExpr("id", f"pmod(xxhash64(id % {4800 // size}), 1000000007) AS hub", f"{size}L AS members")
+    start = sharding.started(linked, 24, 4800)
+
+    def together(df):
+        return df.groupBy("hub", "label").count().toPandas().groupby("hub")["count"].max().sum() / 4800
+
+    got = sharding.propagated(start, 200, 5).cache()
+    assert together(start) < 0.6 and together(got) > 0.95
+    assert got.groupBy("label").count().toPandas()["count"].max() < 300
+
+
+def test_labels_let_in_what_leaves_and_fits():
+    assert sharding.admitted([(0, 1, 10), (1, 2, 10), (2, 0, 10)], 10) == {0: 1.0, 1: 1.0, 2: 1.0}  # round in a circle
+    assert sharding.admitted([(0, 1, 10), (1, 0, 5), (1, 1, 5)], 10) == {0: 1.0, 1: 0.5}
+    got = sharding.admitted([(0, 1, 10), (1, 2, 10), (2, 2, 10), (3, 3, 4), (0, 3, 12)], 10)
+    assert got == {1: 0.0, 2: 0.0, 3: 0.5}
+
+
 # ---------------------------------------------------------------- 10 token files
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
