@@ -240,14 +240,30 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return prints.join(component, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
+def fingerprint_links(sketched: DataFrame, bits: int) -> DataFrame:
+    """Links (a, b) between nodes of ``sketched`` (node, fingerprint, ...) that hold fingerprints at ``bits`` or fewer differing bits.
+
+    The least node of a fingerprint stands for it. Links are fixed by a checkpoint, so that the keys are made once.
+    """
+    held = sketched.select("node", "fingerprint").distinct()
+    prints = cut_lineage(held.groupBy("fingerprint").agg(F.min("node").alias("named")))
+    same = held.join(prints, "fingerprint").select(F.col("named").alias("a"), F.col("node").alias("b"))
+    near = simhash_links(prints, bits)
+    for end in ("a", "b"):
+        near = near.join(prints.select(F.col("fingerprint").alias(end), F.col("named").alias(f"_{end}")), end)
+    return cut_lineage(same.union(near.select(F.col("_a").alias("a"), F.col("_b").alias("b"))).where("a <> b").distinct())
+
+
 def keep_one(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 3, words: int = 3, similarity: float | None = None
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 3, words: int = 3, similarity: float | None = None,
+    fingerprint_words: int | None = None,
 ) -> DataFrame:
     """One row of each component of near copies, all columns kept.
 
     Without ``similarity``, texts link at ``bits`` or fewer differing bits of the fingerprint over ``words``-word shingles.
     With it, they link if the Jaccard similarity of their sets of ``words``-word shingles is at least so large
-    (``resemblance.py``), and ``bits`` is not used.
+    (``resemblance.py``); with ``fingerprint_words`` too, also at ``bits`` or fewer differing bits of the fingerprint over shingles
+    of so many words, and a component holds the links of both kinds. Without it ``bits`` is not used.
     The row of least id stays, an id before none, then the least hash of the text. Rows with the same id and text
     collapse to one. Rows are told apart by a hash of id and text, so nothing depends on ids being unique or there.
     """
@@ -260,14 +276,16 @@ def keep_one(
     if similarity is None:
         sketched = fingerprints(rows, words=words).select("row", "id", F.col("fingerprint").alias("node"))
     else:
-        sketched = with_sketch(rows, words)
+        sketched = with_sketch(rows, words, fingerprint_words)
     sketched = cut_lineage(sketched)
     named_by = F.min(F.struct(F.col("id").isNull().alias("bare"), "id", "row")).alias("least")
     nodes = sketched.groupBy("node").agg(named_by)
     if similarity is None:
         links = simhash_links(nodes.select(F.col("node").alias("fingerprint")), bits)
     else:
+        alike = fingerprint_links(sketched, bits) if fingerprint_words else None
         links = similar_links(sketched, rows, words, similarity)
+        links = links if alike is None else links.union(alike)
     roots = connected_components(links)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stay = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias(key))

@@ -152,7 +152,23 @@ def test_similar_links_of_a_dense_group_and_of_nothing(spark, nothing):
     assert simhash.keep_one(nothing, words=5, similarity=0.8).count() == 0
 
 
-@pytest.mark.parametrize("names", [{}, {"words": 5, "similarity": 0.8}])
+def test_pipeline_links_by_fingerprints_and_by_shingles(spark):
+    """What op9 puts into one component is one document after the stage, also where the shingles differ too much."""
+    import corpus_pipeline
+
+    line = "the same five words again " * 100  # decides the fingerprint, and is five shingles of some forty
+    texts = [line + prose(500 + k, 30) for k in range(20)] + [prose(600 + k, 120) for k in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'web' AS source", "length(text) AS n_chars")
+    group = {r["doc_id"]: r["component_id"] for r in simhash.simhash_components(df).collect()}
+    assert set(group.values()) == {0, *range(20, 40)}
+    assert simhash.keep_one(df, words=5, similarity=0.8).count() == 40
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == set(group.values())
+    copies = [(0, prose(1, 300)), (1, prose(1, 300) + " more words at the end"), (2, prose(2, 300))]
+    df = spark.createDataFrame(copies, "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'web' AS source", "length(text) AS n_chars")
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == {0, 2}
+
+
+@pytest.mark.parametrize("names", [{}, {"words": 5, "similarity": 0.8}, {"words": 5, "similarity": 0.8, "fingerprint_words": 3}])
 def test_keep_one_of_rows_without_id_and_of_repeated_ids(spark, names):
     a, b, c, d = (prose(k) for k in range(300, 304))
     rows = [(None, a), (None, b), (None, b), (None, c), (9, c), (4, d), (4, prose(304)), (4, d)]
