@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions import json_ops as j
-from sightline.session import spread
+from sightline.session import spread, spread_by
 
 
 def page_error(page: Column) -> Column:
@@ -269,11 +269,12 @@ def _grown(start: Column, steps: Column, node: str, kids, result) -> Column:
     return F.aggregate(F.sequence(F.lit(0), steps), begin, step, lambda acc: acc["done"])
 
 
-def leaf_values(docs: DataFrame, doc_id: list[str], body: str) -> DataFrame:
+def leaf_values(docs: DataFrame, doc_id: list[str], body: str, together: bool = False) -> DataFrame:
     """(doc, path, values): every leaf path with its sorted distinct JSON values.
 
     A document is flattened inside its row, whatever its depth; leaves are kept, empty containers
-    vanish. Only the final grouping by (doc, path) shuffles.
+    vanish. Only the final grouping by (doc, path) shuffles. ``together``: rows are brought together by document before they
+    are flattened, so documents are shuffled, which are a fraction of their leaves, and the result is dealt by document.
     """
     node = "struct<path:string,v:variant>"
     members_of = lambda x: F.try_variant_get(x["v"], "$", "map<string,variant>")
@@ -288,7 +289,8 @@ def leaf_values(docs: DataFrame, doc_id: list[str], body: str) -> DataFrame:
     def leaf(x: Column) -> Column:
         return (x["path"] != "") & members_of(x).isNull() & elements_of(x).isNull()
 
-    parsed = spread(docs.select(*doc_id, body)).withColumn("_v", j.parse(body))
+    rows = docs.select(*doc_id, body)
+    parsed = (spread_by(rows, doc_id) if together else spread(rows)).withColumn("_v", j.parse(body))
     root = F.when(F.col("_v").isNotNull(), F.array(F.struct(F.lit("").alias("path"), F.col("_v").alias("v"))))
     flat = parsed.select(*doc_id, F.inline(_grown(root, _brackets(body), node, kids, leaf)))
     leaves = flat.select(*doc_id, "path", F.to_json("v").alias("value"))

@@ -51,14 +51,21 @@ def consecutive_pairs(observations: DataFrame, key: str, round_: str, present: s
 
 
 def changed_paths(pairs: DataFrame, leaves: DataFrame, key: str, round_: str) -> DataFrame:
-    """Paths that differ between the two rounds of a pair; a missing path counts as changed."""
-    use = pairs.filter("comparable")
-    before = use.join(leaves.withColumnRenamed(round_, "from_round"), [key, "from_round"])
-    after = use.join(leaves.withColumnRenamed(round_, "to_round"), [key, "to_round"])
-    ids = [key, "from_round", "to_round", "path"]
-    a = before.select(*ids, F.col("leaf_values").alias("_a"))
-    b = after.select(*ids, F.col("leaf_values").alias("_b"))
-    return a.join(b, ids, "full_outer").filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(*ids)
+    """Paths that differ between the two rounds of a pair; a missing path counts as changed.
+
+    The leaves of a document travel packed in one row, to the pair it comes before and the one it comes after, and are opened
+    where both sides of a pair meet.
+    """
+    ids = [key, "from_round", "to_round"]
+    use = pairs.filter("comparable").select(*ids)
+    before = use.select(*ids, F.col("from_round").alias(round_), F.lit(False).alias("_after"))
+    sides = before.unionByName(use.select(*ids, F.col("to_round").alias(round_), F.lit(True).alias("_after")))
+    packed = leaves.groupBy(key, round_).agg(F.collect_list(F.struct("path", "leaf_values")).alias("_leaves"))
+    met = sides.join(packed, [key, round_]).select(*ids, "_after", "_leaves").repartition(*[F.col(c) for c in ids])
+    side = met.select(*ids, "_after", F.inline("_leaves"))
+    a, b = (F.max(F.when(F.col("_after") == after, F.col("leaf_values"))) for after in (False, True))
+    both = side.groupBy(*ids, "path").agg(a.alias("_a"), b.alias("_b"))
+    return both.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(*ids, "path")
 
 
 def drift_rate(pairs: DataFrame, changes: DataFrame, key: str, label: str) -> DataFrame:

@@ -34,7 +34,7 @@ def rounds(spark, d):
 
 
 def leaves(spark, d, body):
-    return n.leaf_values(rounds(spark, d).filter("fetched"), ["id", "round"], body)
+    return n.leaf_values(rounds(spark, d).filter("fetched"), ["id", "round"], body, together=True)
 
 
 def first_detail_leaves(spark, d):

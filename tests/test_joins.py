@@ -45,3 +45,24 @@ def test_tasks_grow_in_number_with_the_input(spark):
     read = table(spark, root, "orders")  # 32 MB in one file
     assert read.rdd.getNumPartitions() >= 8
     assert spread(read).rdd.getNumPartitions() >= 30 * (1 << 20) // SPREAD_BYTES
+
+
+def test_drift_shuffles_documents_not_their_leaves(spark, rows):
+    """The paths of two rounds meet without a shuffle of single leaves, and differ as a full join of them does."""
+    from sightline.operators import normalize as n
+    from sightline.operators import study as st
+
+    body = F.concat(F.lit('{"a":'), F.pmod(F.col("id") * F.col("round"), F.lit(3)).cast("string"), F.lit(',"b":[{"c":1},{"c":2}],"d":{"e":null'), F.when(F.col("round") == 1, ',"f":1}}').otherwise("}}"))
+    docs = spark.range(40).selectExpr("id", "explode(array(0, 1, 2, 3)) AS round").withColumn("ok", F.pmod(F.col("id") + F.col("round"), F.lit(5)) != 0).withColumn("body", body)
+    pairs = st.consecutive_pairs(docs, "id", "round", "ok")
+    leaves = n.leaf_values(docs.where("ok"), ["id", "round"], "body", together=True)
+    got = st.changed_paths(pairs, leaves, "id", "round")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert exchanges and not any("path" in line.split("hashpartitioning(")[1] for line in exchanges)
+
+    held = {(r["id"], r["round"], r["path"]): r["leaf_values"] for r in n.leaf_values(docs.where("ok"), ["id", "round"], "body").collect()}
+    assert held == {(r["id"], r["round"], r["path"]): r["leaf_values"] for r in leaves.collect()}
+    paths = ("a", "b[].c", "d.e", "d.f")
+    want = [(i, a, b, p) for i, a, b, ok in map(tuple, pairs.collect()) if ok for p in paths if held.get((i, a, p)) != held.get((i, b, p))]
+    assert rows(got) == sorted(want, key=repr) and len(want) > 40
