@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -179,6 +180,21 @@ def test_keep_one_of_rows_without_id_and_of_repeated_ids(spark, names):
 # ---------------------------------------------------------------- 3 suffix arrays
 
 
+@pytest.mark.parametrize("most", [1, 900, 1 << 40, 1 << 62])
+def test_names_are_sorted_in_one_number_with_their_place(most):
+    """Also where value and place do not fit one number."""
+    values = np.random.default_rng(3).integers(0, most, 5000, endpoint=True)
+    order, ordered = suffix.sorted_order(values, most)
+    assert np.array_equal(order, np.argsort(values, kind="stable")) and np.array_equal(ordered, np.sort(values))
+
+
+def test_documents_of_an_anchor_are_counted_once():
+    texts = [b"the very same sentence in many documents, again and again; " * n for n in (1, 3, 2)] + [b""]
+    group = suffix._Group(pa.table([pa.array([5, 3, 9, 1]), pa.array(texts)], names=["id", "text"]), 50, 1)
+    pairs = {(a, d) for a, d in zip(group.which.tolist(), group.doc.tolist())}
+    assert group.documents_per_anchor().tolist() == [sum(a == k for a, _ in pairs) for k in range(len(group.anchors))]
+
+
 def cut(rows, width=50):
     rows = [(i, (t or "").encode()) for i, t, *_ in rows]
     first = {}
