@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from sightline.functions import json_ops as j
-from sightline.operators.normalize import detail_records, leaf_values, tree_nodes
+from sightline.operators.normalize import detail_records, leaf_values, page_items, short_records, tree_nodes
 
 
 def nested(depth):
@@ -57,3 +57,17 @@ def test_normalised_documents_are_canonical_as_written(spark):
     assert by_key[1]["employer"]["area_hh_id"] == "3" and by_key[2]["employer"] is None and by_key[2]["area"] == {"id": None, "name": None} and by_key[2]["salary_range"] == {"": None}
     plan = out.select("normalized_json")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.split("\n+- ")[0].count("StructsToJsonEvaluator") == 1
+
+
+def test_the_json_of_an_item_is_written_once_for_document_and_hash(spark):
+    body = '{"items":[{"name":"A","id":"1","x":[1.0,{"b":"\\u00e9\\"","a":null}]},{"id":2},7]}'
+    items = page_items(spark.createDataFrame([(1, body), (2, "damaged")], "payload_id long, payload_json string")).drop("payload_json")
+    context = F.struct("list_position")
+    twice = short_records(items.withColumn("document", j.short_document(F.col("item"), context)))
+    written = items.withColumn("_json", F.to_json("item"))
+    once = short_records(written.withColumn("document", j.short_document(F.col("item"), context, F.col("_json"))), text="_json")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "2000")
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (twice, once)]
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert [p.count("StructsToJsonEvaluator") for p in plans] == [3, 2]  # one is the context
+    assert once.columns == twice.columns and once.collect() == twice.collect() and once.count() == 3
